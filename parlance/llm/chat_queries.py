@@ -1,4 +1,4 @@
-"""Queries of the text problems over chat messages: 1 (characters), 2 (runs), 4 (terms)."""
+"""Queries of the text problems over chat messages: 1 (characters), 2 (runs), 3 (personal information), 4 (terms)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions.stamps import iso_micros
 from parlance.functions.text import strip
-from parlance.llm import charforms, runs, terms
+from parlance.llm import charforms, personal, runs, terms
 from parlance.runtime import table
 
 
@@ -47,6 +47,33 @@ def p2_runs(spark: SparkSession, d: str) -> DataFrame:
     return r.select("src", F.col("first_id").alias("first_msg_id"), F.col("last_id").alias("last_msg_id"), F.col("n").alias("n_messages"), ((F.col("end") - F.col("start")) / 1e6).alias("seconds"))
 
 
+def finder_of(spark: SparkSession, d: str) -> personal.Finder:
+    """With the listed parts of names and those learned from the messages."""
+    listed = [(r.part, r.kind, r.script) for r in table(spark, d, "name_parts").dropna().collect()]  # a fixed table
+    messages = table(spark, d, "chat_messages")
+    lattice = charforms.lattice_of(messages.where("content is not null"), "content")
+    more = personal.learned_parts(messages, "content", personal.Finder(listed, lattice)).collect()
+    return personal.Finder(listed + [(r.part, r.kind, r.script) for r in more], lattice)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    finder = finder_of(spark, d)
+    messages = table(spark, d, "chat_messages").select("msg_id", "content", "sender")
+    kinds = messages.select(
+        "msg_id", personal.kinds_of(F.col("content"), finder).alias("content"), personal.kinds_of(F.col("sender"), finder, True).alias("sender")
+    )
+    of = lambda f: F.transform(F.col(f), lambda k: F.struct(F.lit(f).alias("field"), k.alias("kind")))
+    return kinds.select("msg_id", F.explode(F.concat(of("content"), of("sender"))).alias("x")).select("msg_id", "x.field", "x.kind").distinct()
+
+
+def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every message with placeholders in place of personal information, each once."""
+    finder = finder_of(spark, d)
+    messages = table(spark, d, "chat_messages")
+    clean = messages.select("msg_id", personal.redacted(F.col("sender"), finder, True).alias("sender"), personal.redacted(F.col("content"), finder).alias("content"))
+    return clean.groupBy("msg_id").agg(F.first("sender").alias("sender"), F.first("content").alias("content"))
+
+
 def p4_terms(spark: SparkSession, d: str) -> DataFrame:
     """All terms with occurrences, messages and mark."""
     return terms.term_table(table(spark, d, "chat_messages").select("msg_id", "content"), "msg_id", "content")
@@ -57,7 +84,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries():
-    return {q.__name__: q for q in (p1_found, p1_consistent, p2_found, p2_runs, p4_found, p4_terms)}
+    return {q.__name__: q for q in (p1_found, p1_consistent, p2_found, p2_runs, p3_found, p3_redacted, p4_found, p4_terms)}
 
 
 _TERMS = r"""
