@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from parlance.llm import chat_queries
+from parlance.llm import chat_queries, doc_queries
 
-MODULES = [chat_queries]
+MODULES = [chat_queries, doc_queries]
 
 
 def queries():
