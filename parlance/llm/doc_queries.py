@@ -1,11 +1,11 @@
-"""Queries of the text problems over documents: 7 (containers), 8 (leaks)."""
+"""Queries of the text problems over documents: 7 (containers), 8 (leaks), 9 (residue)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import leaks, packing
+from parlance.llm import leaks, packing, residue
 from parlance.runtime import table
 
 CAPACITY = 2048
@@ -35,8 +35,17 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return p8_shares(spark, d).select("doc_id", "item_id")
 
 
+def p9_residue(spark: SparkSession, d: str) -> DataFrame:
+    """The documents with residue, and whether a rule told so or only a near-duplicate passage."""
+    return residue.residue(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_residue(spark, d).select("doc_id").distinct()
+
+
 def queries():
-    return {q.__name__: q for q in (p7_packed, p7_containers, p8_found, p8_shares)}
+    return {q.__name__: q for q in (p7_packed, p7_containers, p8_found, p8_shares, p9_found, p9_residue)}
 
 
 def oracle_sql():
