@@ -16,6 +16,7 @@ whole, whatever their length.
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 from collections.abc import Iterator, Sequence
 
@@ -30,6 +31,7 @@ SPACE = 0x20000
 CHUNK = 2_000_000
 
 
+@functools.cache
 def _fold_table() -> tuple[np.ndarray, dict[int, list[int]]]:
     """Folded code point of each (0: dropped), and those that fold to several."""
     table, several = np.zeros(SPACE, np.uint32), {}
