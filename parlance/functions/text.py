@@ -34,17 +34,13 @@ def nonblank_lines(c: Column) -> Column:
 
 def char_ngrams(c: Column, sizes: tuple[int, ...] = (2, 3, 4)) -> Column:
     """array<struct<n, i, gram>>: all overlapping n-grams with size and offset."""
-    parts = [
-        F.when(
-            F.length(c) >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.length(c) - (n - 1), F.lit(1))),
-                lambda i, n=n: F.struct(F.lit(n).alias("n"), i.alias("i"), F.substring(c, i, F.lit(n)).alias("gram")),
-            ),
-        ).otherwise(F.array().cast("array<struct<n:int,i:int,gram:string>>"))
-        for n in sizes
-    ]
-    return F.concat(*parts)
+
+    def of(n: int) -> Column:
+        gram = lambda i: F.struct(F.lit(n).alias("n"), i.alias("i"), F.substring(c, i, F.lit(n)).alias("gram"))
+        last = F.length(c) - (n - 1)
+        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), gram)).otherwise(F.array().cast("array<struct<n:int,i:int,gram:string>>"))
+
+    return F.concat(*[of(n) for n in sizes])
 
 
 def year_month(ts: Column) -> Column:

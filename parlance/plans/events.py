@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parlance.functions.stamps import DAY, iso_micros
 from parlance.functions.text import blank_to_null, strip
 from parlance.operators import sessions, timestamps
+from parlance.plans.sql import strip as strip_sql
 from parlance.runtime import table
 
 GAP_S = 30 * 60
@@ -65,11 +66,9 @@ def queries():
     return {q.__name__: q for q in (p5_found, p5_sessions, p6_found, p6_estimated, p6_zone_violations)}
 
 
-# blanks at the ends: the class of parlance.functions.text in RE2 spelling
-WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _SESSIONS = rf"""
 WITH m AS (
-  SELECT DISTINCT msg_id, src, nullif(regexp_replace(sender, '^{WS}+|{WS}+$', '', 'g'), '') AS sender,
+  SELECT DISTINCT msg_id, src, nullif({strip_sql('sender')}, '') AS sender,
     try_cast(replace(time, 'T', ' ') AS TIMESTAMP) AS ts
   FROM chat_messages),
 g AS (

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parlance.plans import events
+from parlance.plans import events, ingest, style
 
 
 def modules() -> list:
-    return [events]
+    return [style, ingest, events]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.p5_sessions(spark, sf_dir)
+    return style.ngrams_top(spark, sf_dir)
