@@ -55,10 +55,14 @@ ISO = r"^(\d{4})-(\d{1,2})-(\d{1,2})[T ](\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1
 
 
 def iso_micros(text: Column) -> Column:
-    """An ISO-like stamp without zone as microseconds of its wall clock; seconds and fractions optional."""
-    names = ("y", "mo", "d", "h", "mi", "s")
-    parts = lambda s: F.struct(*[number(s, ISO, i + 1).alias(k) for i, k in enumerate(names)], F.rpad(group(s, ISO, 7), 6, "0").try_cast("int").alias("us"))
-    return let(text, lambda s: let(parts(s), lambda p: micros_of(*[p[k] for k in names], p["us"])))
+    """An ISO-like stamp without zone as microseconds of its wall clock; seconds and fractions optional.
+
+    The pattern admits the spelling, a cast with an explicit zone reads it, so neither the session's zone nor
+    its ANSI mode matters.
+    """
+    plain = F.replace(F.replace(text, F.lit("T"), F.lit(" ")), F.lit(","), F.lit("."))
+    full = F.regexp_replace(plain, r"^(\S+ \d{1,2}:\d{2})$", "$1:00")
+    return F.when(text.rlike(ISO), F.unix_micros(F.concat(full, F.lit("Z")).try_cast("timestamp")))
 
 
 def to_instant(wall_us: Column, zone: Column) -> Column:

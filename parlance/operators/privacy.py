@@ -45,4 +45,4 @@ def text_files(spark, root: str, ignored: DataFrame | None = None) -> DataFrame:
 
 def scan_files(files: DataFrame) -> DataFrame:
     """Hits of (path, content); bytes that aren't UTF-8 are replaced."""
-    return hits(lines_of(files, "path", F.decode("content", "UTF-8")), "path")
+    return hits(lines_of(files, "path", F.make_valid_utf8(F.col("content").cast("string"))), "path")
