@@ -26,14 +26,20 @@ def bare(form: Column) -> Column:
     return F.regexp_replace(kept, r"(\p{L})\1+", "$1")
 
 
+def compared(content: Column, form: Column) -> Column:
+    """struct<content, bare> that tells near-identity. Equal contents have equal bare forms, so the content
+    itself counts only where nothing is left of it; elsewhere it isn't carried along."""
+    b = bare(form)
+    return F.struct(F.when(b == "", content).alias("content"), b.alias("bare"))
+
+
 def near(a: Column, b: Column, least: int = 10) -> Column:
-    """Nearly identical contents, given as structs of ``content`` and ``bare``."""
+    """Nearly identical contents, given as structs of ``compared``."""
     x, y = a["bare"], b["bare"]
     digits = lambda c: F.regexp_replace(c, r"\P{N}+", "")
     close = (F.length(x) >= least) & (F.length(y) >= least) & (F.abs(F.length(x) - F.length(y)) <= 1)
-    return (a["content"] == b["content"]) | (
-        (F.length(x) > 0) & (F.length(y) > 0) & ((x == y) | F.when(close, (F.levenshtein(x, y, 1) == 1) & (digits(x) == digits(y))).otherwise(False))
-    )
+    one = F.when(close, (F.levenshtein(x, y, 1) == 1) & (digits(x) == digits(y))).otherwise(False)
+    return F.when((x == "") | (y == ""), F.coalesce(a["content"] == b["content"], F.lit(False))).otherwise((x == y) | one)
 
 
 def runs(events: DataFrame, group: str, order: str, event_id: str, actor: str, content: str, form: Column, ts: Column, block: int = BLOCK) -> DataFrame:
@@ -43,7 +49,7 @@ def runs(events: DataFrame, group: str, order: str, event_id: str, actor: str, c
     """
     rows = events.select(
         group, order, F.col(event_id).alias("_id"), ts.alias("_ts"), blank_to_null(F.col(actor)).alias("_actor"),
-        F.when(blank_to_null(F.col(content)).isNotNull(), F.struct(F.col(content).alias("content"), bare(form).alias("bare"))).alias("_what"),
+        F.when(blank_to_null(F.col(content)).isNotNull(), compared(F.col(content), form)).alias("_what"),
         F.floor(F.col(order) / block).alias("_b"),
     ).dropna(subset=[group, order, "_id"])
     once = rows.repartition(group, "_b").dropDuplicates([group, "_b", order, "_id"]).drop("_b")
