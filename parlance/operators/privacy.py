@@ -19,8 +19,12 @@ def lines_of(df: DataFrame, key: str, text: Column) -> DataFrame:
 
 def hits(lines: DataFrame, key: str) -> DataFrame:
     """(key, line_no, ord, label, pos, value). All rules are columns of one projection: one scan."""
+    none = F.array().cast("array<string>")
+    # the one pattern that could try every start of a long run of letters is spared lines without its mark
+    possible = lambda p: F.contains(F.col("line"), F.lit("@")) if "@" in p else F.lit(True)
     rules = [
-        F.struct(F.lit(k).alias("ord"), F.lit(label).alias("label"), F.regexp_extract_all("line", F.lit(p), F.lit(0)).alias("found")) for k, (label, _, p) in enumerate(model.PRIVACY_RULES)
+        F.struct(F.lit(k).alias("ord"), F.lit(label).alias("label"), F.when(possible(p), F.regexp_extract_all("line", F.lit(p), F.lit(0))).otherwise(none).alias("found"))
+        for k, (label, _, p) in enumerate(model.PRIVACY_RULES)
     ]
     each = lines.select(key, "line_no", F.explode(F.filter(F.array(*rules), lambda r: F.size(r["found"]) > 0)).alias("r"))
     return each.select(key, "line_no", "r.ord", "r.label", F.posexplode("r.found").alias("pos", "v")).select(key, "line_no", "ord", "label", "pos", F.substring("v", 1, 60).alias("value"))
