@@ -138,8 +138,10 @@ def lattice_of(df: DataFrame, column: str) -> Lattice:
     return Lattice({(r.a, r.b): r.n for r in rows})
 
 
-#: texts of these characters only, without a blank at either end, are their own form
-PLAIN = r"^[!-~\x{4e00}-\x{9fa5}\x{3001}\x{3002}\x{300a}-\x{3011}áéíóúñü¡¿ÁÉÍÓÚÑÜ]+( [!-~\x{4e00}-\x{9fa5}\x{3001}\x{3002}\x{300a}-\x{3011}áéíóúñü¡¿ÁÉÍÓÚÑÜ]+)*$"
+#: texts of these characters only, without a blank at either end, are their own form. The patterns repeat single
+#: classes, never groups: Java's matcher would recurse over a group on long texts.
+PLAIN = r"^[ -~\x{4e00}-\x{9fa5}\x{3001}\x{3002}\x{300a}-\x{3011}áéíóúñü¡¿ÁÉÍÓÚÑÜ]+$"
+ENDS = "^ | $"
 
 
 def consistent(column: Column, lattice: Lattice) -> Column:
@@ -149,5 +151,5 @@ def consistent(column: Column, lattice: Lattice) -> Column:
     def form(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else lattice.form(t))
 
-    plain = column.rlike(PLAIN)
+    plain = column.rlike(PLAIN) & ~column.rlike(ENDS)
     return F.when(column.isNull() | plain, column).otherwise(form(F.when(~plain, column)))
