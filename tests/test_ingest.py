@@ -79,7 +79,7 @@ def test_privacy_rules(spark):
 
 
 def test_privacy_of_very_long_lines(spark):
-    df = spark.createDataFrame([(1, "x" * 300_000 + "\n" + "1.2" * 100_000 + "\n" + "word " * 60_000 + "a@b.co")], "k long, t string")
+    df = spark.createDataFrame([(1, "x" * 300_000 + "\n" + "1.2," * 100_000 + "\n" + "word " * 60_000 + "a@b.co")], "k long, t string")
     assert [r.value for r in privacy.hits(privacy.lines_of(df, "k", F.col("t")), "k").collect()] == ["a@b.co"]
 
 
