@@ -58,6 +58,7 @@ def runs(events: DataFrame, group: str, order: str, event_id: str, actor: str, c
     ordered = behind(once, [group], order, me, block=block)
     same = (F.col("_prev._actor") == F.col("_actor")) & near(F.col("_prev._what"), F.col("_what"))
     starts = ordered.where(~F.coalesce(same, F.lit(False))).select(group, order, "_id", "_ts", "_before", F.struct(F.col("_before"), F.col("_prev._id").alias("id"), F.col("_prev._ts").alias("ts")).alias("_end"))
+    starts = written(starts, "starts")  # read twice: by place, and for the edges of blocks
     leads = ahead(starts, [group], order, F.col("_end"), block=block)
     ends = once.groupBy(group).agg(F.count("*").alias("_before"), F.max_by(F.struct(F.col("_id").alias("id"), F.col("_ts").alias("ts")), order).alias("_l"))
     ends = ends.select(group, F.struct("_before", F.col("_l.id").alias("id"), F.col("_l.ts").alias("ts")).alias("_last"))
