@@ -60,9 +60,9 @@ def iso_micros(text: Column) -> Column:
     The pattern admits the spelling, a cast with an explicit zone reads it, so neither the session's zone nor
     its ANSI mode matters.
     """
-    plain = F.replace(F.replace(text, F.lit("T"), F.lit(" ")), F.lit(","), F.lit("."))
-    full = F.regexp_replace(plain, r"^(\S+ \d{1,2}:\d{2})$", "$1:00")
-    return F.when(text.rlike(ISO), F.unix_micros(F.concat(full, F.lit("Z")).try_cast("timestamp")))
+    short = text.rlike(r"[T ]\d{1,2}:\d{2}$")
+    full = F.concat(F.translate(text, ",", "."), F.when(short, ":00Z").otherwise("Z"))
+    return F.when(text.rlike(ISO), F.unix_micros(full.try_cast("timestamp")))
 
 
 def to_instant(wall_us: Column, zone: Column) -> Column:

@@ -9,7 +9,7 @@ from parlance.functions.stamps import DAY, iso_micros
 from parlance.functions.text import blank_to_null, strip
 from parlance.operators import sessions, timestamps
 from parlance.plans.sql import strip as strip_sql
-from parlance.runtime import table
+from parlance.runtime import table, written
 
 GAP_S = 30 * 60
 SLAB_DAYS = 64
@@ -28,7 +28,7 @@ def session_table(spark: SparkSession, d: str) -> DataFrame:
 
     Deliveries of one message have one time, so they are in one batch.
     """
-    events = chat_events(spark, d)
+    events = written(chat_events(spark, d), "events")  # times are read once, for both batches
     store = sessions.SessionTable(spark, ["src", "sender"], GAP_S)
     for half in (0, 1):
         store.update(events.where(F.pmod(F.floor(F.col("ts") / (DAY * SLAB_DAYS)), F.lit(2)) == half), "ts", "msg_id")
