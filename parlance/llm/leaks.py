@@ -4,8 +4,8 @@ Method: Wu-Manber multi-pattern search over folded text (letters and digits only
 forms and blanks folded away). The patterns are windows of the items that begin at each word (each character
 in scripts without blanks). A table of block shifts lets the search skip positions no pattern can end at,
 suffix-hash buckets select patterns, and a direct comparison confirms each occurrence. The confirmed
-windows of one item are then chained in order, with room for interruptions and for swapped words, and the
-chained share of the item decides.
+windows of one item are then chained in order, with room for interruptions and for swapped words at a cost,
+and the chained share of the item decides.
 
 The corpus is read once, without any shuffle: the items (a fixed set of held-out texts) go to every task.
 
@@ -138,12 +138,17 @@ class Patterns:
         return np.concatenate(starts), np.concatenate(pats)
 
 
-def chained(hits: Sequence[tuple[int, int]], m: int, room: int, gap: int) -> tuple[int, int, int]:
-    """(units of the item in the best chain, first and last place in the text) of windows (place, position),
-    sorted by place. A chain ascends in both; ``room`` bounds an interruption of the passage, ``gap`` the part
-    of the item passed over (for swapped words)."""
+#: costs of a chain: of an interruption, as a part of a window, and of each unit of the item passed over
+JUMP, SKIP = 0.35, 0.5
+
+
+def chained(hits: Sequence[tuple[int, int]], m: int, room: int, gap: int) -> tuple[float, int, int]:
+    """(units of the item in the best chain less its costs, first and last place in the text) of windows
+    (place, position), sorted by place. A chain ascends in both; ``room`` bounds an interruption of the
+    passage, ``gap`` the part of the item passed over (for swapped words). Texts that share only common turns
+    of phrase with the item pay for each slot between them; a passage pays for a few line ends."""
     n = len(hits)
-    score, begin = [m] * n, [h[0] for h in hits]
+    score, begin = [float(m)] * n, [h[0] for h in hits]
     best, at = 0.0, 0
     for j in range(n):
         d, p = hits[j]
@@ -153,19 +158,19 @@ def chained(hits: Sequence[tuple[int, int]], m: int, room: int, gap: int) -> tup
             if q < p and p - q <= gap + m and d - e >= p - q - 4:
                 jump = d - e - (p - q)
                 if jump <= room:
-                    s = score[i] + min(m, p - q) - (0.5 if abs(jump) > 2 else 0.0)
+                    s = score[i] + min(m, p - q) - SKIP * max(0, p - q - m) - (JUMP * m if abs(jump) > 2 else 0.0)
                     if s > score[j]:
                         score[j], begin[j] = s, begin[i]
             i -= 1
         if score[j] > best:
             best, at = score[j], j
-    return int(best), begin[at], hits[at][0] + m
+    return best, begin[at], hits[at][0] + m
 
 
 class Detector:
     """``items``: (item_id, text)."""
 
-    def __init__(self, items: Sequence[tuple[int, str]], window: int = 18, block: int = 6, han_window: int = 7, han_block: int = 4, share: float = 0.5):
+    def __init__(self, items: Sequence[tuple[int, str]], window: int = 18, block: int = 6, han_window: int = 7, han_block: int = 4, share: float = 0.42):
         self.fold, self.share = Folding(), share
         self.ids, self.sizes, self.han = [], [], []
         sets: dict[tuple[int, int], list] = {}
