@@ -19,8 +19,9 @@ ZONES = ("America/Chicago", "America/Los_Angeles", "America/New_York", "Asia/Kat
 
 def chat_events(spark: SparkSession, d: str) -> DataFrame:
     """(src, sender, msg_id, ts): deliveries with a sender and a readable time."""
-    rows = table(spark, d, "chat_messages").select("src", blank_to_null(F.col("sender")).alias("sender"), "msg_id", iso_micros(strip(F.col("time"))).alias("ts"))
-    return rows.dropna()
+    who, ts = blank_to_null(F.col("sender")), iso_micros(strip(F.col("time")))
+    rows = table(spark, d, "chat_messages").select("src", "msg_id", F.explode(F.array(F.struct(who.alias("sender"), ts.alias("ts")))).alias("x"))
+    return rows.select("src", "x.sender", "msg_id", "x.ts").dropna()
 
 
 def session_table(spark: SparkSession, d: str) -> DataFrame:
