@@ -17,6 +17,7 @@ def main(argv: list[str] | None = None) -> int:
         p = sub.add_parser(name)
         for n in needs:
             p.add_argument(f"--{n}", f"-{n[0]}", required=True)
+        p.add_argument("--lang", choices=("en", "zh"), default="en")
         for flag, default in options:
             p.add_argument(flag, **({"action": "store_true"} if default is False else {"default": default, "type": type(default)}))
 
@@ -32,14 +33,14 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("parlance").getOrCreate()
 
-    from parlance import render
+    from parlance import model, render
     from parlance.operators import cards, privacy, profile, sampling, subtitles
     from parlance.sources import demo, exports, sinks
 
     if a.command == "profile":
         messages = exports.read_transcripts(spark, a.input).cache()
         char, user = profile.resolve_speakers(messages, a.char_name, a.user_name)
-        sinks.write_report(render.render_profile(profile.profile(messages, char, user, a.emoji_top, a.phrase_min), char, user), a.output)
+        sinks.write_report(render.render_profile(profile.profile(messages, char, user, a.emoji_top, a.phrase_min), char, user, a.lang), a.output)
     elif a.command == "convert":
         rows = exports.read_json_exports(spark, a.input)
         if a.list_senders:
@@ -59,12 +60,13 @@ def main(argv: list[str] | None = None) -> int:
         lines = sinks.sample_lines(messages, picked).orderBy("month", "pos").select("value")
         sinks.write_report([r.value for r in lines.toLocalIterator()], a.output)
     elif a.command == "privacy":
+        english = {zh: en for zh, en, _ in model.PRIVACY_RULES}
         found = privacy.scan_files(privacy.text_files(spark, a.path)).orderBy("path", "line_no", "ord", "pos")
         for r in found.toLocalIterator():
-            print(f"[{r.label}] {r.path}:{r.line_no}  {r.value}")
+            print(f"[{english[r.label] if a.lang == 'en' else r.label}] {r.path}:{r.line_no}  {r.value}")
         return int(not found.isEmpty())
     elif a.command == "card":
-        lines = render.render_warnings(cards.warnings(exports.read_cards(spark, a.input), "path", a.max_lines, a.max_example_lines))
+        lines = render.render_warnings(cards.warnings(exports.read_cards(spark, a.input), "path", a.max_lines, a.max_example_lines), a.lang)
         sinks.write_report(lines, a.output) if a.output else print("\n".join(lines))
     elif a.command == "picture":
         made = exports.read_cards(spark, a.input)

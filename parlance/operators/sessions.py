@@ -105,7 +105,8 @@ class SessionTable:
 
     def _read(self, folders: dict[str, str]) -> list[DataFrame]:
         paths = [f"{self.path}/{v}/_b={b}" for b, v in sorted(folders.items())]
-        return [self.spark.read.schema(self.schema).parquet(*paths)] if paths else []
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return [reader.parquet(*paths)] if paths else []
 
     def update(self, events: DataFrame, ts: str, event_id: str) -> None:
         """Merge one batch of events that no earlier batch held: its local sessions are staged, compared
@@ -124,6 +125,10 @@ class SessionTable:
         self._fs.delete(self._jpath(f"{self.path}/staged{version}"), True)
 
     def sessions(self) -> DataFrame:
-        """The current state; empty before the first update with events."""
+        """The current state; empty before the first update with events. A table opened anew at its path
+        reads its schema from the files."""
         found = self._read(self.manifest()["folders"])
-        return found[0] if found else self.spark.createDataFrame([], self.schema)
+        if found:
+            return found[0]
+        empty = "start bigint, end bigint, n bigint, first_id bigint, last_id bigint"
+        return self.spark.createDataFrame([], self.schema or ", ".join(f"{c} string" for c in self.entity) + ", " + empty)

@@ -12,29 +12,44 @@ def bar(n: int, per: int) -> str:
     return BAR * max(1, n // per)
 
 
-def render_profile(sections: dict[str, DataFrame], char: str, user: str) -> list[str]:
+LABELS = {
+    "en": {
+        "title": "=== Style profile ===", "total": "{0} messages, {1} participants", "pair": "{0}: {1}, {2}: {3}, ratio {4:.2f}", "lengths": "[1] Lengths", "mean": "mean {0:.1f}", "months": "[2] Months",
+        "hours": "[3] Hours", "peak": "peak {0:02d}", "brackets": "[4] Bracket tokens", "token": "{0} {1} (once in {2:.0f})", "emoji": "[5] Emoji", "phrases": "[6] Phrases", "fragments": "[7] Fragments",
+        "tails": "[8] Tails", "bursts": "[9] Bursts", "burst": "mean {0:.2f}, longest {1}", "none": "none", "attention": "=== Needs attention ===", "passed": "=== All checks passed ===",
+    },
+    "zh": {
+        "title": "=== 说话风格 ===", "total": "消息 {0} 条，参与者 {1} 人", "pair": "{0}：{1}，{2}：{3}，比值 {4:.2f}", "lengths": "[1] 长度", "mean": "平均 {0:.1f}", "months": "[2] 月份",
+        "hours": "[3] 时段", "peak": "最多 {0:02d} 点", "brackets": "[4] 方括号记号", "token": "{0} {1}（每 {2:.0f} 条一次）", "emoji": "[5] 表情符号", "phrases": "[6] 短句", "fragments": "[7] 片段",
+        "tails": "[8] 句尾", "bursts": "[9] 连发", "burst": "平均 {0:.2f}，最长 {1}", "none": "无", "attention": "=== 待处理 ===", "passed": "=== 检查无误 ===",
+    },
+}
+
+
+def render_profile(sections: dict[str, DataFrame], char: str, user: str, lang: str = "en") -> list[str]:
     """The lines of a profile report, section by section."""
+    say = lambda k, *x: LABELS[lang][k].format(*x)
     got = {k: df.collect() for k, df in sections.items()}  # each section is bounded by its limit or by its nature
     s = got["summary"][0]
-    out = ["=== Style profile ===", f"{s.total} messages, {s.participants} participants", f"{char}: {s.char_n}, {user}: {s.user_n}, ratio {s.ratio:.2f}", ""]
+    out = [say("title"), say("total", s.total, s.participants), say("pair", char, s.char_n, user, s.user_n, s.ratio), ""]
     labels = {1: "<=5", 2: "6-20", 3: "21-100", 4: ">100"}
     rows = sorted(got["length_histogram"], key=lambda r: r.bucket)
-    out += ["[1] Lengths", f"mean {rows[0].mean:.1f}"] + [f"{labels[r.bucket]:>7}: {r.n:>6} ({r.share * 100:.1f}%) {BAR * int(r.share * 40)}" for r in rows] + [""]
-    out += ["[2] Months"] + [f"{r.month}: {r.n:>6} {bar(r.n, 200)}" for r in sorted(got["monthly_volume"], key=lambda r: r.month or "")] + [""]
-    out += ["[3] Hours"] + [f"{r.hour:02d}: {r.n:>6} {bar(r.n, 100)}" for r in sorted(got["active_hours"], key=lambda r: r.hour)]
-    out += [f"peak {r.hour:02d}" for r in got["peak_hour"]] + [""]
-    out += ["[4] Bracket tokens"] + [f"{r.token} {r.n} (once in {r.dilution:.0f})" for r in got["brackets"]] + [""]
-    out += ["[5] Emoji"] + [f"{r.token} {r.n}" for r in got["emoji"]] + [""]
-    out += ["[6] Phrases"] + ([f"{r.phrase} {r.n}" for r in got["catchphrases"]] or ["none"]) + [""]
-    out += ["[7] Fragments"] + ([f"{r.gram} {r.n}" for r in got["ngrams"]] or ["none"]) + [""]
-    out += ["[8] Tails"] + [f"{r.tail} {r.n}" for r in got["tails"]] + [""]
+    out += [say("lengths"), say("mean", rows[0].mean)] + [f"{labels[r.bucket]:>7}: {r.n:>6} ({r.share * 100:.1f}%) {BAR * int(r.share * 40)}" for r in rows] + [""]
+    out += [say("months")] + [f"{r.month}: {r.n:>6} {bar(r.n, 200)}" for r in sorted(got["monthly_volume"], key=lambda r: r.month or "")] + [""]
+    out += [say("hours")] + [f"{r.hour:02d}: {r.n:>6} {bar(r.n, 100)}" for r in sorted(got["active_hours"], key=lambda r: r.hour)]
+    out += [say("peak", r.hour) for r in got["peak_hour"]] + [""]
+    out += [say("brackets")] + [say("token", r.token, r.n, r.dilution) for r in got["brackets"]] + [""]
+    out += [say("emoji")] + [f"{r.token} {r.n}" for r in got["emoji"]] + [""]
+    out += [say("phrases")] + ([f"{r.phrase} {r.n}" for r in got["catchphrases"]] or [say("none")]) + [""]
+    out += [say("fragments")] + ([f"{r.gram} {r.n}" for r in got["ngrams"]] or [say("none")]) + [""]
+    out += [say("tails")] + [f"{r.tail} {r.n}" for r in got["tails"]] + [""]
     if got["burst_stats"]:
         b = got["burst_stats"][0]
-        out += ["[9] Bursts", f"mean {b.mean:.2f}, longest {b.longest}"] + [f"{r.run}: {r.n}" for r in sorted(got["burst_histogram"], key=lambda r: r.run)] + [""]
+        out += [say("bursts"), say("burst", b.mean, b.longest)] + [f"{r.run}: {r.n}" for r in sorted(got["burst_histogram"], key=lambda r: r.run)] + [""]
     return out
 
 
-def render_warnings(found: DataFrame) -> list[str]:
+def render_warnings(found: DataFrame, lang: str = "en") -> list[str]:
     """The lines of a card report; the number of findings of a card is bounded by its checks and replies."""
     rows = found.collect()
-    return ["=== Needs attention ===", *[f"! {r.check}: {r.subject} ({r.n})" for r in rows]] if rows else ["=== All checks passed ==="]
+    return [LABELS[lang]["attention"], *[f"! {r.check}: {r.subject} ({r.n})" for r in rows]] if rows else [LABELS[lang]["passed"]]

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from parlance import model
 from parlance.operators import profile
 from parlance.render import render_profile
@@ -79,6 +77,6 @@ def test_report(spark):
     m = rows_of(spark, ["hello[x]", "hi😀!", "hi😀!"]).unionByName(rows_of(spark, ["yo"], sender="b", src="t"))
     lines = render_profile(profile.profile(m), "a", "b")
     assert "a: 3, b: 1, ratio 3.00" in lines and "[x] 1 (once in 3)" in lines and "peak 07" in lines
+    assert "最多 07 点" in render_profile(profile.profile(m), "a", "b", "zh")
     empty = render_profile(profile.profile(m.limit(0)), "", "")
     assert "none" in empty
-    assert F is not None

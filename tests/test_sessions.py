@@ -54,6 +54,14 @@ def test_bridge_across_days_and_batches(spark):
     assert _result(store) == {1: 2, 3: 1}
 
 
+def test_reopened_at_its_path(spark):
+    store = SessionTable(spark, ["src", "who"], GAP, buckets=2)
+    assert store.sessions().count() == 0
+    store.update(spark.createDataFrame(_rows(50, 2), SCHEMA), "ts", "id")
+    again = SessionTable(spark, ["src", "who"], GAP, path=store.path, buckets=2)
+    assert _result(again) == _result(store) == brute(_rows(50, 2))
+
+
 def test_empty_table(spark):
     store = SessionTable(spark, ["src", "who"], GAP)
     store.update(spark.createDataFrame([], SCHEMA), "ts", "id")
