@@ -77,6 +77,17 @@ def _date(y: str, m: str, d: str) -> bool:
         return False
 
 
+def _character(ch: str) -> tuple[str, bool]:
+    """A character's consistent form, empty if ignorable, and whether it may join the one before it."""
+    if _IGNORED.match(ch):
+        return "", False
+    form = "".join(" " if _BLANK.match(c) else c for c in unicodedata.normalize("NFKC", ch))
+    return form, any(unicodedata.combining(c) for c in form)
+
+
+_FORMS: dict[str, tuple[str, bool]] = {}  # by character, so bounded by Unicode
+
+
 class Finder:
     """``parts``: (part, kind given or family, script latin or han), which may be incomplete."""
 
@@ -92,7 +103,7 @@ class Finder:
             "email": ["@", "[at]", "(at)", "{at}", " at ", " arroba ", " 艾特 "],
             "number": list("0123456789"),
             "name": [p for p in self.given | self.family if not regex.match(r"\p{Han}", p)],
-            "cue": ["ran into", "ask for", "ship it to", "send it to", "this is", "name", "here:", "soy ", "me llamo", "vi a ", "nombre de", "signed", "mail me", "mi correo", "i am ", "i'm "],
+            "cue": ["ran into", "ask for", "ship it to", "send it to", "this is", "name", "here:", "soy ", "me llamo", "vi a ", "nombre de", "signed", "mail me", "mi correo", "i am ", "i'm ", "call ", "dear ", "conocí a", "mr ", "mr.", "mrs", "sra ", "sr. ", "doña "],
             "han": sorted(self.han_given) + ["联系", "收件人", "寄件人", "找", "我叫", "叫做", "名叫", "碰到", "遇到", "见到", "请附", "附上", "署名", "姓名", "本人", "我是", "转交", "交给", "刚打电话", "打电话来", "来电", "签收"],
         }
         for kind, ws in words.items():
@@ -109,13 +120,14 @@ class Finder:
         out: list[str] = []
         at: list[int] = []
         for i, ch in enumerate(text):
-            if _IGNORED.match(ch):
-                continue
-            for c in unicodedata.normalize("NFKC", ch):
-                if out and unicodedata.combining(c) and len(joined := unicodedata.normalize("NFC", out[-1] + c)) == 1:
+            made = _FORMS.get(ch)
+            if made is None:
+                made = _FORMS[ch] = _character(ch)
+            for c in made[0]:
+                if made[1] and out and unicodedata.combining(c) and len(joined := unicodedata.normalize("NFC", out[-1] + c)) == 1:
                     out[-1] = joined
                     continue
-                out.append(" " if _BLANK.match(c) else c)
+                out.append(c)
                 at.append(i)
         form = "".join(out)
         if _OTHER.search(form):
@@ -232,13 +244,15 @@ class Finder:
     def cued(self, text: str) -> list[tuple[str, str, str]]:
         """(given, family, script) of names that stand where a name is announced, both parts listed or not."""
         form, _ = self._form(text)
+        low = form.lower()
+        announced = {k for _, (_, kinds) in self.anchors.iter(low) for k in kinds} & {"han", "cue"}
         out = []
-        for m in HAN_CUE.finditer(form):
+        for m in HAN_CUE.finditer(form) if "han" in announced else ():
             n = m["n"] or m["n2"]
             if self._is_han(n):
                 cut = 2 if n[:2] in self.han_family else 1
                 out.append((n[cut:], n[:cut], "han"))
-        for m in LATIN_NAME.finditer(form):
+        for m in LATIN_NAME.finditer(form) if "cue" in announced else ():
             if CUE_BEFORE.search(form[max(0, m.start() - 24) : m.start()]) and (m[0] != m[0].upper()):
                 out.append(((m["g1"] or m["g2"]).lower(), (m["f1"] or m["f2"]).lower().split("-")[0], "latin"))
         return out
@@ -259,7 +273,7 @@ def learned_parts(df: DataFrame, column: str, finder: Finder, least: int = 3) ->
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[tuple[str, str, str, str]] = set()
         for b in batches:
-            for text in b[column]:
+            for text in set(b[column]):
                 for g, f, script in finder.cued(text):
                     if f in finder.family and g not in finder.given:
                         seen.add((g, "given", script, f))
