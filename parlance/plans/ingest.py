@@ -24,6 +24,22 @@ def json_normalize(spark, d):
     return _records(spark, d).select("rec_id", exports.fields_of(F.col("m")).alias("x")).select("rec_id", "x.*")
 
 
+def json_export(spark, d):
+    """The same records, each as the only message of a whole export document with other keys beside it."""
+    r = table(spark, d, "raw_records").select("rec_id", "time", "timestamp", "createTime", "sender", "content", "type").distinct()
+    one = F.to_json(F.struct("time", "timestamp", "createTime", "sender", "content", "type"))
+    docs = r.select(F.col("rec_id").alias("src"), F.concat(F.lit('{"version": 1, "tags": [1, 2, 3], "records": ['), one, F.lit("]}")).alias("doc"))
+    return exports.exported(docs).select(F.col("src").alias("rec_id"), "seq", "ts_raw", "sender", "content", "mtype")
+
+
+def rich_text_flatten(spark, d):
+    """Contents cut into segments of rich text, as a text and an object, and flattened again."""
+    r = table(spark, d, "raw_records").select("rec_id", F.coalesce("content", F.lit("")).alias("c")).distinct()
+    quoted = lambda x: F.regexp_replace(F.to_json(F.array(x)), r"^\[|\]$", "")
+    doc = F.concat(F.lit("["), quoted(F.substring("c", 1, 3)), F.lit(', {"type": "bold", "text": '), quoted(F.substring(F.col("c"), F.lit(4), F.length("c"))), F.lit("}]"))
+    return r.select("rec_id", exports.flat_text(F.try_parse_json(doc)).alias("content"))
+
+
 def json_kept(spark, d):
     return exports.kept(json_normalize(spark, d)).select("rec_id", "content")
 
@@ -101,7 +117,7 @@ def queries():
     return {
         q.__name__: q
         for q in (
-            json_normalize, json_kept, json_placeholders, json_counters, list_senders, subtitle_messages, subtitle_speakers, card_fields, card_example_lines,
+            json_normalize, json_export, rich_text_flatten, json_kept, json_placeholders, json_counters, list_senders, subtitle_messages, subtitle_speakers, card_fields, card_example_lines,
             card_greeting_lines, card_warnings, card_to_v3, card_pictures, demo_messages, transcript_rows,
         )
     }
@@ -144,6 +160,8 @@ def oracle_sql():
     always = lambda c, s: f"SELECT doc_id, '{c}', '{s}', 0 FROM cards"
     return {
         "json_normalize": _NORM + "SELECT rec_id, ts_raw, sender, content, mtype FROM r",
+        "json_export": _NORM + "SELECT rec_id, CAST(0 AS BIGINT) AS seq, ts_raw, sender, content, mtype FROM r",
+        "rich_text_flatten": "SELECT DISTINCT rec_id, coalesce(content, '') AS content FROM raw_records",
         "json_kept": _NORM + "SELECT rec_id, content FROM k WHERE full_ AND is_text",
         "json_placeholders": _NORM + "SELECT rec_id, CASE WHEN is_text THEN content ELSE '[' || mtype || ']' END AS content FROM k WHERE full_",
         "json_counters": _NORM + "SELECT count(*) AS loaded, count(*) FILTER (full_ AND is_text) AS kept, count(*) FILTER (NOT (full_ AND is_text)) AS skipped FROM k",

@@ -11,6 +11,8 @@ from parlance.operators import privacy, profile, sampling
 from parlance.plans import sql
 from parlance.runtime import table
 
+#: thresholds of repeated phrases and of n-grams; the profile's defaults are for longer records of one speaker
+PHRASE_MIN, GRAM_MIN = 3, 5
 TARGET, BASE, SEG_MIN, SEG_MAX, SEED, TRIES = 6500, 20, 20, 45, 42, 600
 
 
@@ -64,12 +66,12 @@ def emoji_rank(spark, d):
 
 def catchphrase_rank(spark, d):
     m = messages(spark, d)
-    return profile.catchphrases(m, _speaker(m)).select("phrase", "n")
+    return profile.catchphrases(m, _speaker(m), PHRASE_MIN).select("phrase", "n")
 
 
 def ngrams_top(spark, d):
     m = messages(spark, d)
-    return profile.ngrams_top(m, _speaker(m), least=5).select("gram", "n")
+    return profile.ngrams_top(m, _speaker(m), least=GRAM_MIN).select("gram", "n")
 
 
 def sentence_tails(spark, d):
@@ -220,11 +222,11 @@ def oracle_sql():
         "token_dilution": _tokens(model.BRACKET) + f"SELECT token, n, greatest((SELECT count(*) FROM c), 1) / n AS dilution FROM g {_TOP} LIMIT {model.TOP_TOKENS}",
         "emoji_rank": _tokens(_RE2_EMOJI) + f"SELECT token, n FROM g {_TOP} LIMIT {model.TOP_TOKENS}",
         "catchphrase_rank": m + f"""SELECT phrase, n FROM (SELECT phrase, count(*) AS n, min({{'a': src, 'b': seq}}) AS p FROM (SELECT *, {phrase} AS phrase FROM c)
-            WHERE length(phrase) BETWEEN 2 AND 8 AND NOT starts_with(phrase, '[') GROUP BY phrase {_TOP} LIMIT {model.TOP_PHRASES}) WHERE n >= 10""",
+            WHERE length(phrase) BETWEEN 2 AND 8 AND NOT starts_with(phrase, '[') GROUP BY phrase {_TOP} LIMIT {model.TOP_PHRASES}) WHERE n >= {PHRASE_MIN}""",
         "ngrams_top": m + f""", w AS (SELECT content, count(*) AS w, min({{'a': src, 'b': seq}}) AS p FROM c WHERE NOT starts_with(content, '[') GROUP BY content),
             t AS (SELECT w, p, k, i, substr(content, i, k) AS gram FROM (SELECT w, p, content, k, unnest(range(1, length(content) - k + 2)) AS i FROM w, (VALUES (2), (3), (4)) AS x(k))),
             g AS (SELECT gram, CAST(sum(w) AS BIGINT) AS n, min({{'a': p.a, 'b': p.b, 'k': k, 'i': i}}) AS p FROM t GROUP BY gram {_TOP} LIMIT {model.TOP_GRAMS})
-            SELECT gram, n FROM g WHERE n >= 5 AND NOT regexp_full_match(gram, '[{model.STOP_CHARACTERS}]+') {_TOP} LIMIT {model.SHOWN_GRAMS}""",
+            SELECT gram, n FROM g WHERE n >= {GRAM_MIN} AND NOT regexp_full_match(gram, '[{model.STOP_CHARACTERS}]+') {_TOP} LIMIT {model.SHOWN_GRAMS}""",
         "sentence_tails": m + f"""SELECT tail, n FROM (SELECT tail, count(*) AS n, min({{'a': src, 'b': seq}}) AS p FROM (SELECT *, right({sql.strip('content')}, 1) AS tail, {sql.strip('content')} AS s FROM c)
             WHERE s <> '' AND NOT starts_with(s, '[') AND contains('{model.TAILS}', tail) GROUP BY tail {_TOP} LIMIT {model.TOP_TAILS})""",
         "burst_stats": _BURSTS + "SELECT count(*) AS n, avg(run) AS mean, max(run) AS longest FROM r HAVING count(*) > 0",
