@@ -41,7 +41,7 @@ def json_array(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(F.col("ts_raw").alias("time"), "sender", "content", F.lit(1).alias("type"))).alias("value"))
 
 
-def placeholder_picture(width: int = 400, height: int = 600, top: tuple = (58, 78, 120), bottom: tuple = (26, 32, 48)) -> bytes:
+def placeholder_picture(width: int = 400, height: int = 600, top: tuple = (96, 120, 112), bottom: tuple = (24, 40, 36)) -> bytes:
     """A PNG with a vertical gradient between two colours."""
     step = [(b - a) / max(1, height - 1) for a, b in zip(top, bottom)]
     lines = b"".join(b"\0" + bytes(int(a + s * y) for a, s in zip(top, step)) * width for y in range(height))
