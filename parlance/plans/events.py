@@ -60,7 +60,7 @@ def p6_zone_violations(spark: SparkSession, d: str) -> DataFrame:
     records, writers = table(spark, d, "raw_records"), table(spark, d, "exporters").where("zone is null")
     parsed = timestamps.parse_fields(records, table(spark, d, "exporters"), "exporter_id", ("time", "timestamp", "createTime"), ["rec_id", "exporter_id"])
     evidence = timestamps.aligned_evidence(parsed, "exporter_id", "", "rec_id", ("time", "timestamp", "createTime"))
-    return timestamps.zone_violations(evidence, timestamps.candidate_zones(writers, "exporter_id", undeclared=ZONES), "exporter_id", 1500)
+    return timestamps.zone_violations(evidence, timestamps.candidate_zones(writers, "exporter_id", undeclared=ZONES), "exporter_id", 450)
 
 
 def queries():
