@@ -3,9 +3,10 @@
 Method: Wu-Manber multi-pattern search over folded text (letters and digits only, case, accents, character
 forms and blanks folded away). The patterns are windows of the items that begin at each word (each character
 in scripts without blanks). A table of block shifts lets the search skip positions no pattern can end at,
-suffix-hash buckets select patterns, and a direct comparison confirms each occurrence. The confirmed
-windows of one item are then chained in order, with room for interruptions and for swapped words at a cost,
-and the chained share of the item decides.
+suffix-hash buckets select patterns, and a direct comparison confirms each occurrence. Around the confirmed
+windows of one item, text and item are then aligned: all equal stretches of a few letters are chained in order,
+with room for interruptions and for swapped words. Swapped words count as held, up to one in eight of what is
+held, and the held share of the item, by words, decides.
 
 The corpus is read once, without any shuffle: the items (a fixed set of held-out texts) go to every task.
 
@@ -138,41 +139,90 @@ class Patterns:
         return np.concatenate(starts), np.concatenate(pats)
 
 
-#: costs of a chain: of an interruption, as a part of a window, and of each unit of the item passed over
-JUMP, SKIP = 0.35, 0.5
-
-
-def chained(hits: Sequence[tuple[int, int]], m: int, room: int, gap: int) -> tuple[float, int, int]:
-    """(units of the item in the best chain less its costs, first and last place in the text) of windows
-    (place, position), sorted by place. A chain ascends in both; ``room`` bounds an interruption of the
-    passage, ``gap`` the part of the item passed over (for swapped words). Texts that share only common turns
-    of phrase with the item pay for each slot between them; a passage pays for a few line ends."""
-    n = len(hits)
-    score, begin = [float(m)] * n, [h[0] for h in hits]
-    best, at = 0.0, 0
+#: costs of a chain, in words: of an interruption and of each of its letters (scripts with blanks, without), and of
+#: each word of the item passed over
+JUMP, LETTER, SKIP = (0.5, 1.0), (0.015, 0.04), 2.5
+#: words swapped for each word found that count as held: one in eight of both
+SWAPPED = 1 / 7
+#: share of an item that a chain must be worth after its costs
+NET = 0.18
+
+
+def grams(codes: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of all ``k`` code points in a row."""
+    n = len(codes) - k + 1
+    h = np.zeros(max(0, n), np.uint64)
+    for i in range(k if n > 0 else 0):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[i : n + i]
+    return h
+
+
+def stretches(text: np.ndarray, item: tuple[np.ndarray, np.ndarray], k: int) -> list[tuple[int, int, int]]:
+    """(place, position, length) of the longest equal stretches of ``k`` or more code points, by place. ``item``:
+    its grams in order, and their positions."""
+    h, (g, order) = grams(text, k), item
+    first, last = np.searchsorted(g, h, "left"), np.searchsorted(g, h, "right")
+    n = last - first
+    d = np.repeat(np.arange(len(h)), n)
+    p = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
+    along = np.lexsort((d, d - p))
+    d, p = d[along], p[along]
+    starts = np.flatnonzero((np.diff(d, prepend=-2) != 1) | (np.diff(p, prepend=-2) != 1))
+    sizes = np.diff(np.append(starts, len(d))) + k - 1
+    return sorted(zip(d[starts].tolist(), p[starts].tolist(), sizes.tolist()))
+
+
+def held(parts: Sequence[tuple[int, int, int]], words: Sequence[float], room: int, gap: int, han: bool = False, net: float = NET) -> float:
+    """Words of the item held by the best chain of ``stretches``: those found, and swapped ones up to their share.
+
+    ``words[p]``: words of the item before position p, with fractions. A chain ascends in both; ``room`` bounds an
+    interruption of the passage, ``gap`` the part of the item passed over. Texts that share only turns of phrase
+    with the item pay for each slot between them, and what is left must be the share ``net`` of the item.
+    """
+    n = len(parts)
+    found = [words[p + m] - words[p] for _, p, m in parts]
+    score, have, lost = found[:], found[:], [0.0] * n
+    best = 0.0
+    reach = room + gap + max((m for *_, m in parts), default=0)
     for j in range(n):
-        d, p = hits[j]
+        d, p, m = parts[j]
         i = j - 1
-        while i >= 0 and d - hits[i][0] <= room + gap + m:
-            e, q = hits[i]
-            if q < p and p - q <= gap + m and d - e >= p - q - 4:
-                jump = d - e - (p - q)
-                if jump <= room:
-                    s = score[i] + min(m, p - q) - SKIP * max(0, p - q - m) - (JUMP * m if abs(jump) > 2 else 0.0)
+        while i >= 0 and d - parts[i][0] <= reach:
+            e, q, l = parts[i]
+            if q < p and q + l < p + m and e + l < d + m:
+                cut = max(0, q + l - p, e + l - d)  # where they overlap, the later one begins later
+                at, over = p + cut, p + cut - q - l
+                jump = (d + cut - e - l) - over
+                if cut < m and over <= gap and -gap <= jump <= room:
+                    new, skipped = words[p + m] - words[at], words[at] - words[q + l]
+                    s = score[i] + new - SKIP * skipped - (JUMP[han] + LETTER[han] * abs(jump) if abs(jump) > 12 or jump and over == 0 else 0.0)
                     if s > score[j]:
-                        score[j], begin[j] = s, begin[i]
+                        score[j], have[j], lost[j] = s, have[i] + new, lost[i] + skipped
             i -= 1
-        if score[j] > best:
-            best, at = score[j], j
-    return best, begin[at], hits[at][0] + m
+        if score[j] >= net * words[-1]:
+            best = max(best, have[j] + min(lost[j], SWAPPED * have[j]))
+    return best
+
+
+#: least share of an item held: half, less what stretches too short to be seen may take
+SHARE = 0.42
+#: letters an interruption may have, and letters of the item passed over at once: scripts with blanks, without
+ROOM = (700, 45), (250, 16)
+#: letters of the shortest stretch that counts
+LEAST = 6, 2
+#: share of an item its windows must cover together before text and item are aligned
+SEEN = 0.2
+#: windows among them that stand in no other item: what items share are turns of phrase
+OWN = 3
 
 
 class Detector:
     """``items``: (item_id, text)."""
 
-    def __init__(self, items: Sequence[tuple[int, str]], window: int = 18, block: int = 6, han_window: int = 7, han_block: int = 4, share: float = 0.42):
+    def __init__(self, items: Sequence[tuple[int, str]], window: int = 18, block: int = 6, han_window: int = 6, han_block: int = 4, share: float = SHARE):
         self.fold, self.share = Folding(), share
         self.ids, self.sizes, self.han = [], [], []
+        self.grams, self.words = [], []
         sets: dict[tuple[int, int], list] = {}
         for item, text in items:
             codes, places = self.fold(text or "")
@@ -187,9 +237,21 @@ class Detector:
             self.ids.append(item)
             self.sizes.append(len(codes))
             self.han.append(han)
+            edges = np.arange(len(codes)) if han else np.unique(np.append(0, np.flatnonzero(np.diff(places, prepend=-2) > 1)))
+            lengths = np.diff(np.append(edges, len(codes)))
+            least = min(LEAST[han], m)
+            g = grams(codes, least)
+            order = np.argsort(g, kind="stable")
+            self.grams.append((g[order], order, least))
+            self.words.append(np.concatenate([[0], np.cumsum(np.repeat(1 / lengths, lengths))]).tolist())
             sets.setdefault((m, b), []).extend((codes[s : s + m], k, int(s)) for s in starts if s + m <= len(codes))
         self.sets = [Patterns(ws, m, b) for (m, b), ws in sets.items()]
         self.sizes = np.array(self.sizes)
+        #: windows of each item that no other has
+        self.windows = np.zeros(len(self.ids), np.int64)
+        for p in self.sets:
+            single = np.flatnonzero(np.diff(p.starts) == 1)
+            np.add.at(self.windows, p.item[p.starts[single]], 1)
 
     def scan(self, texts: Sequence[str | None]) -> list[tuple[int, int, float]]:
         """(text, item_id, share) over a batch of texts."""
@@ -215,30 +277,44 @@ class Detector:
             if not len(place):
                 continue
             counts = p.starts[pat + 1] - p.starts[pat]
-            rows = np.repeat(np.arange(len(pat)), counts)
+            of = rows = np.repeat(np.arange(len(pat)), counts)
             each = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(p.starts[pat], counts)
             d, item, pos = place[rows], p.item[each], p.pos[each]
             doc = np.searchsorted(begins, d, "right") - 1
             key = doc * len(self.ids) + item
-            # no chain counts more of an item than its windows cover together: groups below that need no chain
-            order = np.lexsort((pos, key))
-            k, q = key[order], pos[order]
+            order = np.lexsort((d, key))
+            far = np.array([sum(ROOM[h]) + 4 * p.m for h in self.han])[item[order]]
+            cluster = np.empty(len(key), np.int64)  # the windows of one item that may belong to one passage
+            cluster[order] = np.cumsum((np.diff(key[order], prepend=-1) != 0) | (np.diff(d[order], prepend=0) > far))
+            order = np.lexsort((pos, cluster))
+            k, q = cluster[order], pos[order]
             edges = np.flatnonzero(np.diff(k, prepend=-1))
             step = np.diff(q, prepend=0)
             step[edges] = p.m
             cover = np.add.reduceat(np.minimum(step, p.m), edges)
-            enough = k[edges][cover >= self.share * self.sizes[item[order][edges]]]
-            rows = np.flatnonzero(np.isin(key, enough))
-            rows = rows[np.lexsort((pos[rows], d[rows], key[rows]))]
+            own = np.add.reduceat((counts == 1)[of][order] & (step > 0), edges)
+            enough = k[edges][(cover >= SEEN * self.sizes[item[order][edges]]) & (own >= np.minimum(OWN, self.windows[item[order][edges]]))]
+            rows = np.flatnonzero(np.isin(cluster, enough))
+            rows = rows[np.lexsort((d[rows], key[rows]))]
             k = key[rows]
             for group in np.split(rows, np.flatnonzero(np.diff(k)) + 1) if len(rows) else []:
                 it, at = int(item[group[0]]), int(doc[group[0]])
-                han = self.han[it]
-                got, _, _ = chained(list(zip(d[group].tolist(), pos[group].tolist())), p.m, 250 if han else 700, 16 if han else 45)
-                if got >= self.share * self.sizes[it]:
-                    out.append((chunk[at][0], self.ids[it], got / self.sizes[it]))
+                share = self._held(chunk[at][1], d[group] - begins[at], it, p.m) / self.words[it][-1]
+                if share >= self.share:
+                    out.append((chunk[at][0], self.ids[it], share))
         return out
 
+    def _held(self, codes: np.ndarray, places: np.ndarray, item: int, m: int) -> float:
+        """Words of the item held at best around windows found at ``places``."""
+        room, gap = ROOM[self.han[item]]
+        *index, least = self.grams[item]
+        around = room + int(self.sizes[item])
+        best = 0.0
+        for part in np.split(places, np.flatnonzero(np.diff(places) > 2 * around) + 1):
+            text = codes[max(0, int(part[0]) - around) : int(part[-1]) + m + around]
+            best = max(best, held(stretches(text, index, least), self.words[item], room, gap, self.han[item]))
+        return best
+
 
 def leaked(docs: DataFrame, doc_id: str, text: str, items: Sequence[tuple[int, str]], **options) -> DataFrame:
     """(doc_id, item_id, share) of every document that holds a test item."""
