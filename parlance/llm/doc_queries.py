@@ -27,7 +27,7 @@ def eval_items(spark: SparkSession, d: str) -> list[tuple[int, str]]:
 
 
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
-    """Each document that holds a test item, with the share of the item found in order."""
+    """Each document that holds a test item: the share of its words found in order, and with swapped ones held."""
     return leaks.leaked(table(spark, d, "documents"), "doc_id", "text", eval_items(spark, d))
 
 

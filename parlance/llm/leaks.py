@@ -3,16 +3,18 @@
 Method: Wu-Manber multi-pattern search over folded text (letters and digits only, case, accents, character
 forms and blanks folded away). The patterns are windows of the items that begin at each word (each character
 in scripts without blanks). A table of block shifts lets the search skip positions no pattern can end at,
-suffix-hash buckets select patterns, and a direct comparison confirms each occurrence. Around the confirmed
-windows of one item, text and item are then aligned: all equal stretches of a few letters are chained in order,
-with room for interruptions and for swapped words. Swapped words count as held, up to one in eight of what is
-held, and the held share of the item, by words, decides.
+suffix-hash buckets select patterns, and a direct comparison confirms each occurrence. Where the confirmed
+windows of one item cover enough of it, the words around them are aligned with the words of the item: equal
+words gain, swapped ones and insertions cost, an interruption costs the same whatever its length. The words
+found, and swapped ones up to one in eight of what is held, decide by their share of the item.
 
 The corpus is read once, without any shuffle: the items (a fixed set of held-out texts) go to every task.
+Documents are searched many at a time, and alignments are computed side by side, so no loop runs over
+characters.
 
 Defined results: null, empty and blank texts hold nothing, nor does an empty set of items; items too short
-for a window are searched as one whole pattern; repeated documents each give their rows; texts are read
-whole, whatever their length.
+for a window are searched as one whole pattern; repeated documents each give their rows, as do items of equal
+texts; texts are read whole, whatever their length.
 """
 
 from __future__ import annotations
@@ -51,29 +53,73 @@ def _fold_table() -> tuple[np.ndarray, dict[int, list[int]]]:
     return table, several
 
 
-class Folding:
-    """Folded code points of many texts at once."""
+#: stands between documents in folded text; no pattern holds it
+END = 1
 
-    def __init__(self):
-        self.table, several = _fold_table()
-        self.several = {k: "".join(map(chr, v)) for k, v in several.items()}
-        self.flag = np.zeros(SPACE, bool)
-        self.flag[list(several)] = True
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(folded code points, their places in the text)."""
-        cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+@functools.cache
+def _classes() -> tuple[np.ndarray, ...]:
+    """By code point: the fold (0: dropped), whether it parts words, whether it is a word by itself, how many code
+    points it folds to, and those of the ones that fold to several (by number of the row)."""
+    table, several = _fold_table()
+    parts = table == 0
+    for cp in np.flatnonzero(parts).tolist():
+        if unicodedata.category(chr(cp)) in ("Mn", "Me", "Mc", "Cf"):
+            parts[cp] = False
+    alone = np.zeros(SPACE, bool)
+    alone[0x3400:0xA000] = True
+    size = np.ones(SPACE, np.int8)
+    wide = np.zeros((len(several) + 1, max(map(len, several.values()))), np.uint32)
+    row = np.zeros(SPACE, np.int64)
+    for k, (cp, cs) in enumerate(several.items(), 1):
+        size[cp], row[cp] = len(cs), k
+        wide[k, : len(cs)] = cs
+    return table, parts, alone, size, row, wide
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Folded:
+    """Many texts as one array of folded code points, END behind each, cut into units: words, and single
+    characters of scripts without blanks. Ignorable characters and accents part no words."""
+
+    MUL = np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
+
+    def __init__(self, texts: Sequence[str]):
+        table, parts, alone, size, row, wide = _classes()
+        cps = np.frombuffer("".join(f"{t.replace(chr(0), ' ') if chr(0) in t else t}\0" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         low = np.minimum(cps, SPACE - 1)
-        if self.flag[low].any():
-            text = text.translate(self.several)
-            cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-            low = np.minimum(cps, SPACE - 1)
-        folded = self.table[low]
+        n = size[low]
+        if (n > 1).any():
+            place = np.repeat(np.arange(len(cps)), n)
+            nth = np.arange(len(place)) - np.repeat(np.cumsum(n, dtype=np.int64) - n, n)
+            cps, low = cps[place], low[place]
+            folded = np.where(row[low] > 0, wide[row[low], nth], table[low])
+        else:
+            folded = table[low]
         high = cps >= SPACE
         if high.any():
             folded = np.where(high & (cps < 0xE0000), cps, folded)
+        single = alone[low] | high
+        ends = cps == 0
+        folded = np.where(ends, END, folded)
         keep = np.flatnonzero(folded)
-        return folded[keep], keep
+        gaps = np.cumsum(parts[low])[keep]
+        self.codes = folded[keep]
+        single = single[keep] | ends[keep]
+        start = np.diff(gaps, prepend=-1) != 0
+        start |= single
+        start[1:] |= single[:-1]
+        self.ends = np.flatnonzero(self.codes == END)
+        self.starts = np.flatnonzero(start)
+        #: number of the unit of each code point
+        self.unit = np.cumsum(start) - 1
+        offset = np.arange(len(keep)) - self.starts[self.unit]
+        self.words = mix(np.add.reduceat(self.codes.astype(np.uint64) * self.MUL[offset & 63], self.starts)) if len(self.starts) else np.empty(0, np.uint64)
 
 
 class Patterns:
@@ -139,97 +185,96 @@ class Patterns:
         return np.concatenate(starts), np.concatenate(pats)
 
 
-#: costs of a chain, in words: of an interruption and of each of its letters (scripts with blanks, without), and of
-#: each word of the item passed over
-JUMP, LETTER, SKIP = (0.5, 1.0), (0.015, 0.04), 2.5
-#: words swapped for each word found that count as held: one in eight of both
+#: costs in units (words; characters of scripts without blanks), as eighths: of a unit of the item swapped or passed
+#: over, of a unit put into the passage, and of an interruption, whatever its length
+SWAP, INSERT, JUMP = (16, 16), (3, 2), (32, 48)
+#: units swapped for each unit found that count as held: one in eight of both
 SWAPPED = 1 / 7
-#: share of an item that a chain must be worth after its costs
-NET = 0.18
-
-
-def grams(codes: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all ``k`` code points in a row."""
-    n = len(codes) - k + 1
-    h = np.zeros(max(0, n), np.uint64)
-    for i in range(k if n > 0 else 0):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + codes[i : n + i]
-    return h
-
-
-def stretches(text: np.ndarray, item: tuple[np.ndarray, np.ndarray], k: int) -> list[tuple[int, int, int]]:
-    """(place, position, length) of the longest equal stretches of ``k`` or more code points, by place. ``item``:
-    its grams in order, and their positions."""
-    h, (g, order) = grams(text, k), item
-    first, last = np.searchsorted(g, h, "left"), np.searchsorted(g, h, "right")
-    n = last - first
-    d = np.repeat(np.arange(len(h)), n)
-    p = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
-    along = np.lexsort((d, d - p))
-    d, p = d[along], p[along]
-    starts = np.flatnonzero((np.diff(d, prepend=-2) != 1) | (np.diff(p, prepend=-2) != 1))
-    sizes = np.diff(np.append(starts, len(d))) + k - 1
-    return sorted(zip(d[starts].tolist(), p[starts].tolist(), sizes.tolist()))
-
-
-def held(parts: Sequence[tuple[int, int, int]], words: Sequence[float], room: int, gap: int, han: bool = False, net: float = NET) -> float:
-    """Words of the item held by the best chain of ``stretches``: those found, and swapped ones up to their share.
-
-    ``words[p]``: words of the item before position p, with fractions. A chain ascends in both; ``room`` bounds an
-    interruption of the passage, ``gap`` the part of the item passed over. Texts that share only turns of phrase
-    with the item pay for each slot between them, and what is left must be the share ``net`` of the item.
-    """
-    n = len(parts)
-    found = [words[p + m] - words[p] for _, p, m in parts]
-    score, have, lost = found[:], found[:], [0.0] * n
-    best = 0.0
-    reach = room + gap + max((m for *_, m in parts), default=0)
-    for j in range(n):
-        d, p, m = parts[j]
-        i = j - 1
-        while i >= 0 and d - parts[i][0] <= reach:
-            e, q, l = parts[i]
-            if q < p and q + l < p + m and e + l < d + m:
-                cut = max(0, q + l - p, e + l - d)  # where they overlap, the later one begins later
-                at, over = p + cut, p + cut - q - l
-                jump = (d + cut - e - l) - over
-                if cut < m and over <= gap and -gap <= jump <= room:
-                    new, skipped = words[p + m] - words[at], words[at] - words[q + l]
-                    s = score[i] + new - SKIP * skipped - (JUMP[han] + LETTER[han] * abs(jump) if abs(jump) > 12 or jump and over == 0 else 0.0)
-                    if s > score[j]:
-                        score[j], have[j], lost[j] = s, have[i] + new, lost[i] + skipped
-            i -= 1
-        if score[j] >= net * words[-1]:
-            best = max(best, have[j] + min(lost[j], SWAPPED * have[j]))
-    return best
-
-
-#: least share of an item held: half, less what stretches too short to be seen may take
-SHARE = 0.42
-#: letters an interruption may have, and letters of the item passed over at once: scripts with blanks, without
-ROOM = (700, 45), (250, 16)
-#: letters of the shortest stretch that counts
-LEAST = 6, 2
-#: share of an item its windows must cover together before text and item are aligned
-SEEN = 0.2
-#: windows among them that stand in no other item: what items share are turns of phrase
-OWN = 3
+#: least share of an item held: half, less what stretches too short to be seen at the edges of interruptions may take
+SHARE = 0.39
+#: share of an item that its own windows must cover before text and item are aligned (what items share are turns of
+#: phrase), and all its windows
+OWN, SEEN = 0.07, 0.12
+#: share of an item its own windows cover
+OWNED = 0.5
+#: score of an alignment, of what the whole item would have, from which units are counted, and that it must have
+#: (scattered turns of phrase cost more than they gain; half an item with one in eight swapped has 0.25 and more)
+WORTH, NET = 0.15, 0.2
+#: units on either side of a window of the item's own that are aligned
+AROUND = 24, 40
+#: alignments done at once
+LANES = 128
+
+#: parts of a cell's value that hold the score and the units found; the rest are the units swapped
+_SCORE, _FOUND = 1 << 32, 1 << 16
+
+
+def _lanes(texts: Sequence[np.ndarray], items: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts and items of many pairs side by side, one pair a column: units of both, and weights."""
+    many, wide, long = len(texts), max(len(h) for h, _ in items), max(map(len, texts))
+    text, item, weight = np.zeros((long, many), np.uint64), np.ones((wide, many), np.uint64), np.zeros((wide, many), np.int64)
+    for k, (t, (h, w)) in enumerate(zip(texts, items)):
+        text[: len(t), k] = t
+        item[: len(h), k] = h
+        weight[: len(h), k] = w
+    return text, item, weight
+
+
+def _best(text: np.ndarray, item: np.ndarray, gain: np.ndarray, lose: np.ndarray, insert: int, jump: int, kind: type, skips: bool) -> np.ndarray:
+    """The best value of a local alignment that may go on anywhere after an interruption; one pair a column."""
+    wide, many = item.shape
+    passed = np.concatenate([np.zeros((1, many), kind), np.cumsum(lose, 0, dtype=kind)])
+    cell, best = np.zeros((wide + 1, many), kind), np.zeros((wide + 1, many), kind)
+    new, begin, other = np.empty_like(cell), np.empty_like(cell), np.empty((wide, many), kind)
+    for row in text:
+        np.maximum(best, cell, out=best)
+        np.subtract(best, kind(jump), out=begin)
+        np.maximum(begin, cell, out=begin)
+        np.subtract(cell, kind(insert), out=new)
+        np.maximum(new, kind(0), out=new)
+        np.add(cell[:-1], lose, out=other)
+        np.add(begin[:-1], gain, out=other, where=item == row)
+        np.maximum(new[1:], other, out=new[1:])
+        if skips:  # units of the item without any in the text
+            new -= passed
+            np.maximum.accumulate(new, axis=0, out=new)
+            new += passed
+        cell, new = new, cell
+    return np.maximum(best, cell).max(0)
+
+
+def scores(texts: Sequence[np.ndarray], items: Sequence[tuple[np.ndarray, np.ndarray]], han: bool) -> np.ndarray:
+    """Score of each pair's alignment as a share of the whole item's, at least; cheaper than ``align``. ``texts``:
+    hashes of units; ``items``: hashes of units, and how much each counts."""
+    text, item, weight = _lanes(texts, items)
+    kind = np.int16 if 8 * int(weight.sum(0).max()) * 4 < 32_000 else np.int32
+    weights = weight.astype(kind)
+    top = _best(text.astype(np.uint32), item.astype(np.uint32), 8 * weights, -SWAP[han] * weights, INSERT[han], JUMP[han], kind, False)
+    return top / np.maximum(8 * weight.sum(0), 1)
+
+
+def align(texts: Sequence[np.ndarray], items: Sequence[tuple[np.ndarray, np.ndarray]], han: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The best alignment of each item with its text: its score as a share of the whole item's, units found and units
+    swapped. A cell holds these three as one integer, so that the best is the greatest."""
+    text, item, weight = _lanes(texts, items)
+    top = _best(text, item, weight * (8 * _SCORE + _FOUND), weight * (1 - SWAP[han] * _SCORE), INSERT[han] * _SCORE, JUMP[han] * _SCORE, np.int64, True)
+    return top // _SCORE / np.maximum(8 * weight.sum(0), 1), (top % _SCORE) // _FOUND, top % _FOUND
 
 
 class Detector:
     """``items``: (item_id, text)."""
 
     def __init__(self, items: Sequence[tuple[int, str]], window: int = 18, block: int = 6, han_window: int = 6, han_block: int = 4, share: float = SHARE):
-        self.fold, self.share = Folding(), share
-        self.ids, self.sizes, self.han = [], [], []
-        self.grams, self.words = [], []
+        self.share = share
+        self.ids, self.sizes, self.han, self.units = [], [], [], []
         sets: dict[tuple[int, int], list] = {}
         for item, text in items:
-            codes, places = self.fold(text or "")
+            f = Folded([text or ""])
+            codes, starts = f.codes[:-1], f.starts[:-1]
             if not len(codes):
                 continue
             han = bool(((codes >= 0x3400) & (codes <= 0x9FFF)).mean() > 0.5)
-            starts = np.arange(len(codes)) if han else np.flatnonzero(np.diff(places, prepend=-2) > 1)
+            weights = np.diff(f.starts) if han else np.ones(len(starts), np.int64)
             m, b = (han_window, han_block) if han else (window, block)
             if len(codes) < m:
                 m, b, starts = len(codes), min(b, len(codes)), np.array([0])
@@ -237,87 +282,110 @@ class Detector:
             self.ids.append(item)
             self.sizes.append(len(codes))
             self.han.append(han)
-            edges = np.arange(len(codes)) if han else np.unique(np.append(0, np.flatnonzero(np.diff(places, prepend=-2) > 1)))
-            lengths = np.diff(np.append(edges, len(codes)))
-            least = min(LEAST[han], m)
-            g = grams(codes, least)
-            order = np.argsort(g, kind="stable")
-            self.grams.append((g[order], order, least))
-            self.words.append(np.concatenate([[0], np.cumsum(np.repeat(1 / lengths, lengths))]).tolist())
+            self.units.append((f.words[:-1], weights))
             sets.setdefault((m, b), []).extend((codes[s : s + m], k, int(s)) for s in starts if s + m <= len(codes))
         self.sets = [Patterns(ws, m, b) for (m, b), ws in sets.items()]
         self.sizes = np.array(self.sizes)
-        #: windows of each item that no other has
-        self.windows = np.zeros(len(self.ids), np.int64)
-        for p in self.sets:
-            single = np.flatnonzero(np.diff(p.starts) == 1)
-            np.add.at(self.windows, p.item[p.starts[single]], 1)
-
-    def scan(self, texts: Sequence[str | None]) -> list[tuple[int, int, float]]:
-        """(text, item_id, share) over a batch of texts."""
-        out, chunk, size = [], [], 0
+        #: by place in the patterns: windows of the items that are their own
+        self.own = [self._rare(p) for p in self.sets]
+
+    def _rare(self, p: Patterns) -> np.ndarray:
+        """The windows of each item that stand in the fewest others, as many as cover OWNED of it: where items differ,
+        those in no other item."""
+        shared = np.repeat(np.diff(p.starts), np.diff(p.starts))
+        rare = np.zeros(len(p.item), bool)
+        for it in np.unique(p.item):
+            rows = np.flatnonzero(p.item == it)
+            rows = rows[np.argsort(p.pos[rows], kind="stable")]
+            for most in np.unique(shared[rows]):
+                some = rows[shared[rows] <= most]
+                if np.minimum(np.diff(p.pos[some], append=p.pos[some[-1]] + p.m), p.m).sum() >= OWNED * self.sizes[it]:
+                    break
+            rare[some] = True
+        return rare
+
+    def scan(self, texts: Sequence[str | None]) -> list[tuple[int, int, float, float]]:
+        """(text, item_id, share found, share held) over a batch of texts."""
+        out: list[tuple[int, int, float, float]] = []
+        chunk: list[int] = []
+        size = 0
         for i, t in enumerate(texts):
             if t:
-                codes, _ = self.fold(t)
-                if len(codes):
-                    chunk.append((i, codes))
-                    size += len(codes) + 32
+                chunk.append(i)
+                size += len(t)
             if size > CHUNK:
-                out += self._scan(chunk)
+                out += self._scan(chunk, texts)
                 chunk, size = [], 0
-        return out + (self._scan(chunk) if chunk else [])
-
-    def _scan(self, chunk: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, float]]:
-        sep = np.zeros(32, np.uint32)
-        text = np.concatenate([x for _, c in chunk for x in (c, sep)])
-        begins = np.concatenate([[0], np.cumsum([len(c) + 32 for _, c in chunk])])
+        return out + (self._scan(chunk, texts) if chunk else [])
+
+    def _scan(self, chunk: list[int], texts: Sequence[str | None]) -> list[tuple[int, int, float, float]]:
+        f = Folded([texts[i] for i in chunk])
+        pairs = []  # (document, item, units of the text to align)
+        for p, own in zip(self.sets, self.own):
+            place, pat = p.search(f.codes)
+            doc = np.searchsorted(f.ends, place)
+            some = np.flatnonzero(np.logical_or.reduceat(own, p.starts[:-1])[pat])
+            rows, each = self._windows(p, pat[some])
+            at, key = place[some[rows]], doc[some[rows]] * len(self.ids) + p.item[each]
+            rare = own[each]
+            keys = self._covered(key[rare], p.pos[each[rare]], p.m, OWN)
+            some = np.flatnonzero(np.isin(doc, keys // len(self.ids)))
+            every, all_ = self._windows(p, pat[some])
+            whole = doc[some[every]] * len(self.ids) + p.item[all_]
+            rows = np.flatnonzero(np.isin(whole, keys))
+            keys = self._covered(whole[rows], p.pos[all_[rows]], p.m, SEEN)
+            rows = np.flatnonzero(rare & np.isin(key, keys))
+            rows = rows[np.lexsort((at[rows], key[rows]))]
+            for group in np.split(rows, np.flatnonzero(np.diff(key[rows])) + 1) if len(rows) else []:
+                k, it = divmod(int(key[group[0]]), len(self.ids))
+                first, last = f.unit[f.ends[k - 1]] + 1 if k else 0, f.unit[f.ends[k]]
+                units = f.unit[at[group]]
+                lo, hi = np.maximum(units - AROUND[self.han[it]], first), np.minimum(units + AROUND[self.han[it]], last)
+                new = np.flatnonzero(np.append(True, lo[1:] > hi[:-1]))
+                stop = np.maximum.reduceat(hi, new)
+                pairs.append((k, it, np.concatenate([f.words[a:b] for a, b in zip(lo[new], stop)])))
+        return self._held(chunk, pairs)
+
+    @staticmethod
+    def _windows(p: Patterns, pat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row of ``pat``, place in the windows) of all windows that have the patterns."""
+        n = p.starts[pat + 1] - p.starts[pat]
+        return np.repeat(np.arange(len(pat)), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(p.starts[pat], n)
+
+    def _covered(self, key: np.ndarray, pos: np.ndarray, m: int, share: float) -> np.ndarray:
+        """The keys (document, item) whose windows of ``m`` at ``pos`` cover the share of the item together."""
+        if not len(key):
+            return key
+        order = np.lexsort((pos, key))
+        k, q = key[order], pos[order]
+        edges = np.flatnonzero(np.diff(k, prepend=-1))
+        step = np.diff(q, prepend=0)
+        step[edges] = m
+        k = k[edges]
+        return k[np.add.reduceat(np.minimum(step, m), edges) >= share * self.sizes[k % len(self.ids)]]
+
+    def _held(self, chunk: list[int], pairs: list[tuple[int, int, np.ndarray]]) -> list[tuple[int, int, float, float]]:
         out = []
-        for p in self.sets:
-            place, pat = p.search(text)
-            if not len(place):
-                continue
-            counts = p.starts[pat + 1] - p.starts[pat]
-            of = rows = np.repeat(np.arange(len(pat)), counts)
-            each = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(p.starts[pat], counts)
-            d, item, pos = place[rows], p.item[each], p.pos[each]
-            doc = np.searchsorted(begins, d, "right") - 1
-            key = doc * len(self.ids) + item
-            order = np.lexsort((d, key))
-            far = np.array([sum(ROOM[h]) + 4 * p.m for h in self.han])[item[order]]
-            cluster = np.empty(len(key), np.int64)  # the windows of one item that may belong to one passage
-            cluster[order] = np.cumsum((np.diff(key[order], prepend=-1) != 0) | (np.diff(d[order], prepend=0) > far))
-            order = np.lexsort((pos, cluster))
-            k, q = cluster[order], pos[order]
-            edges = np.flatnonzero(np.diff(k, prepend=-1))
-            step = np.diff(q, prepend=0)
-            step[edges] = p.m
-            cover = np.add.reduceat(np.minimum(step, p.m), edges)
-            own = np.add.reduceat((counts == 1)[of][order] & (step > 0), edges)
-            enough = k[edges][(cover >= SEEN * self.sizes[item[order][edges]]) & (own >= np.minimum(OWN, self.windows[item[order][edges]]))]
-            rows = np.flatnonzero(np.isin(cluster, enough))
-            rows = rows[np.lexsort((d[rows], key[rows]))]
-            k = key[rows]
-            for group in np.split(rows, np.flatnonzero(np.diff(k)) + 1) if len(rows) else []:
-                it, at = int(item[group[0]]), int(doc[group[0]])
-                share = self._held(chunk[at][1], d[group] - begins[at], it, p.m) / self.words[it][-1]
-                if share >= self.share:
-                    out.append((chunk[at][0], self.ids[it], share))
+        for han in (False, True):
+            some = sorted((x for x in pairs if self.han[x[1]] == han), key=lambda x: len(x[2]))
+            worth: list[tuple[int, int, np.ndarray]] = []
+            for a in range(0, len(some), LANES):
+                part = some[a : a + LANES]
+                good = scores([t for *_, t in part], [self.units[it] for _, it, _ in part], han) >= WORTH
+                worth += [x for x, ok in zip(part, good) if ok]
+            for a in range(0, len(worth), LANES):
+                part = worth[a : a + LANES]
+                counts = align([t for *_, t in part], [self.units[it] for _, it, _ in part], han)
+                for (doc, it, _), net, n, lost in zip(part, *(c.tolist() for c in counts)):
+                    total = int(self.units[it][1].sum())
+                    if (have := n + min(lost, SWAPPED * n)) >= self.share * total and net >= NET:
+                        out.append((chunk[doc], self.ids[it], n / total, have / total))
         return out
 
-    def _held(self, codes: np.ndarray, places: np.ndarray, item: int, m: int) -> float:
-        """Words of the item held at best around windows found at ``places``."""
-        room, gap = ROOM[self.han[item]]
-        *index, least = self.grams[item]
-        around = room + int(self.sizes[item])
-        best = 0.0
-        for part in np.split(places, np.flatnonzero(np.diff(places) > 2 * around) + 1):
-            text = codes[max(0, int(part[0]) - around) : int(part[-1]) + m + around]
-            best = max(best, held(stretches(text, index, least), self.words[item], room, gap, self.han[item]))
-        return best
-
 
 def leaked(docs: DataFrame, doc_id: str, text: str, items: Sequence[tuple[int, str]], **options) -> DataFrame:
-    """(doc_id, item_id, share) of every document that holds a test item."""
+    """(doc_id, item_id, share, held) of every document that holds a test item: the share of its words found in
+    order, and with swapped ones up to one in eight."""
     kind = docs.schema[doc_id].dataType.simpleString()
     detector = Detector(items, **options)
 
@@ -325,6 +393,7 @@ def leaked(docs: DataFrame, doc_id: str, text: str, items: Sequence[tuple[int, s
         for b in batches:
             found = detector.scan(b.column(1).to_pylist())
             at = pa.array([f[0] for f in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array([f[1] for f in found], pa.int64()), pa.array([f[2] for f in found], pa.float64())], ["doc_id", "item_id", "share"])
+            columns = [pa.array([f[k] for f in found], t) for k, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.float64()))]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), *columns], ["doc_id", "item_id", "share", "held"])
 
-    return docs.select(doc_id, text).mapInArrow(scan, f"doc_id {kind}, item_id bigint, share double")
+    return docs.select(doc_id, text).mapInArrow(scan, f"doc_id {kind}, item_id bigint, share double, held double")

@@ -12,7 +12,7 @@ NOISE = "Nothing of the sort was ever told in this place, and so the evening wen
 
 
 def found(texts, items=((1, ITEM), (2, HAN))):
-    return [(i, it) for i, it, _ in leaks.Detector(items).scan(texts)]
+    return [(i, it) for i, it, *_ in leaks.Detector(items).scan(texts)]
 
 
 def test_leaks():
