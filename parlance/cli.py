@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import argparse
 import sys
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def printed(counts: DataFrame) -> None:
+    for r in counts.orderBy(F.desc("count"), "sender").toLocalIterator():
+        print(f"{r['count']:>8} {r.sender}")
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="parlance")
     sub = ap.add_subparsers(dest="command", required=True)
@@ -34,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("parlance").getOrCreate()
 
     from parlance import model, render
-    from parlance.operators import cards, privacy, profile, sampling, subtitles
+    from parlance.operators import privacy, profile, sampling, subtitles
     from parlance.sources import demo, exports, sinks
 
     if a.command == "profile":
@@ -44,29 +50,35 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "convert":
         rows = exports.read_json_exports(spark, a.input)
         if a.list_senders:
-            rows.groupBy(F.coalesce(F.nullif("sender", F.lit("")), F.lit("(空)")).alias("sender")).count().orderBy(F.desc("count"), "sender").show(1000, False)
+            printed(rows.groupBy(F.coalesce(F.nullif("sender", F.lit("")), F.lit("(空)")).alias("sender")).count())
         else:
             sinks.write_transcript(exports.kept(rows, a.keep_non_text), a.output)
             exports.counters(rows).show()
     elif a.command == "subtitles":
         rows = subtitles.cue_messages(exports.read_subtitles(spark, a.input), a.date, a.speaker, keep=("src", "seq"))
+        speakers = rows.groupBy("sender").count()
         if a.list_speakers:
-            rows.groupBy("sender").count().orderBy(F.desc("count"), "sender").show(1000, False)
+            printed(speakers)
         else:
             sinks.write_transcript(rows, a.output)
+        if not a.speaker and speakers.limit(2).count() == 1:
+            print("only one speaker was found: --speaker gives the name of who speaks")
     elif a.command == "sample":
         messages = exports.read_transcripts(spark, a.input).cache()
         picked = sampling.stratified_sample(messages, a.target, a.base, a.seg_min, a.seg_max, a.seed)
         lines = sinks.sample_lines(messages, picked).orderBy("month", "pos").select("value")
-        sinks.write_report([r.value for r in lines.toLocalIterator()], a.output)
+        sinks.write_report((r.value for r in lines.toLocalIterator()), a.output)
+        out = Path(a.output)
+        sinks.write_report(sinks.sample_report(sampling.sample_stats(messages, picked)), str(out.with_name(out.stem + "_stats.txt")))
     elif a.command == "privacy":
         english = {zh: en for zh, en, _ in model.PRIVACY_RULES}
-        found = privacy.scan_files(privacy.text_files(spark, a.path)).orderBy("path", "line_no", "ord", "pos")
-        for r in found.toLocalIterator():
+        found = privacy.scan_files(privacy.text_files(spark, a.path, privacy.ignored_files(spark, a.path))).orderBy("path", "line_no", "ord", "pos")
+        n = 0
+        for n, r in enumerate(found.toLocalIterator(), 1):
             print(f"[{english[r.label] if a.lang == 'en' else r.label}] {r.path}:{r.line_no}  {r.value}")
-        return int(not found.isEmpty())
+        return int(n > 0)
     elif a.command == "card":
-        lines = render.render_warnings(cards.warnings(exports.read_cards(spark, a.input), "path", a.max_lines, a.max_example_lines), a.lang)
+        lines = render.render_card(exports.read_cards(spark, a.input), "path", a.max_lines, a.max_example_lines, a.lang)
         sinks.write_report(lines, a.output) if a.output else print("\n".join(lines))
     elif a.command == "picture":
         made = exports.read_cards(spark, a.input)

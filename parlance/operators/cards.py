@@ -30,10 +30,16 @@ def to_v3(card: Column) -> Column:
     return card.withField("spec", F.lit("chara_card_v3")).withField("spec_version", F.lit("3.0"))
 
 
+def no_text(cards: DataFrame) -> Column:
+    """The fields that hold something else than a text, which count as empty: the reader's column ``other``."""
+    return F.coalesce("other", F.array().cast("array<string>")) if "other" in cards.columns else F.array().cast("array<string>")
+
+
 def field_lengths(cards: DataFrame, key: str) -> DataFrame:
     """(key, field, n_chars) of the required fields and the post-history instructions."""
-    b = cards.select(key, body(F.col("card")).alias("b"))
-    fields = [F.struct(F.lit(f).alias("field"), F.coalesce(F.length(F.col("b")[f]), F.lit(0)).cast("bigint").alias("n_chars")) for f in (*model.CARD_FIELDS, "post_history_instructions")]
+    b = cards.select(key, body(F.col("card")).alias("b"), no_text(cards).alias("o"))
+    size = lambda f: F.when(F.array_contains("o", f), 0).otherwise(F.coalesce(F.length(F.col("b")[f]), F.lit(0))).cast("bigint")
+    fields = [F.struct(F.lit(f).alias("field"), size(f).alias("n_chars")) for f in (*model.CARD_FIELDS, "post_history_instructions")]
     return b.select(key, F.explode(F.array(*fields)).alias("x")).select(key, "x.*")
 
 
@@ -67,14 +73,14 @@ def lorebook(cards: DataFrame, key: str) -> DataFrame:
 
 def warnings(cards: DataFrame, key: str, greeting: int = model.MOST_GREETING_LINES, example: int = model.MOST_EXAMPLE_LINES) -> DataFrame:
     """(key, check, subject, n): one row per finding."""
-    row = cards.select(key, kind(F.col("card")).alias("k"), F.col("card.spec").alias("spec"), body(F.col("card")).alias("b"))
+    row = cards.select(key, kind(F.col("card")).alias("k"), F.col("card.spec").alias("spec"), body(F.col("card")).alias("b"), no_text(cards).alias("o"))
     row = row.withColumn("replies", F.transform(replies(F.col("b.mes_example")), lambda r: nonblank_lines(r))).withColumn("lines", nonblank_lines(F.coalesce("b.first_mes", F.lit(""))))
     empty = F.array().cast("array<struct<check:string,subject:string,n:bigint>>")
 
     def finding(cond: Column, check: str, subject: Column, n: Column) -> Column:
         return F.when(cond, F.array(F.struct(F.lit(check).alias("check"), subject.cast("string").alias("subject"), n.cast("bigint").alias("n")))).otherwise(empty)
 
-    blank = lambda f: F.coalesce(F.length(F.col("b")[f]), F.lit(0)) == 0
+    blank = lambda f: (F.coalesce(F.length(F.col("b")[f]), F.lit(0)) == 0) | F.array_contains("o", f)
     found = [finding(F.col("k") == "unknown", "unknown spec", F.col("spec"), F.lit(0))]
     found += [finding(blank(f), "empty field", F.lit(f), F.lit(0)) for f in model.CARD_FIELDS]
     found += [

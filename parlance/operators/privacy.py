@@ -6,6 +6,9 @@ order of the rules, then of their places.
 
 from __future__ import annotations
 
+import subprocess
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +47,19 @@ def text_files(spark, root: str, ignored: DataFrame | None = None) -> DataFrame:
     keep = (F.col("length") <= model.MOST_BYTES) & ~low.rlike("(" + "|".join(s.replace(".", r"\.") for s in model.BINARY_SUFFIXES) + ")$")
     keep &= ~F.col("path").rlike("/(" + "|".join(s.replace(".", r"\.") for s in model.SKIPPED_DIRECTORIES) + ")/")
     files = files.where(keep).select("path", "content")
-    return files if ignored is None else files.join(ignored, "path", "left_anti")
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    return files if ignored is None else files.join(ignored.select(plain(F.col("path")).alias("_p")), plain(files["path"]) == F.col("_p"), "left_anti")
+
+
+def ignored_files(spark, root: str) -> DataFrame | None:
+    """(path, without scheme) of the files below a local folder that its version control leaves out; None where it has none."""
+    listing = ["git", "-C", root, "ls-files", "--others", "--ignored", "--exclude-standard", "-z"]
+    try:
+        out = subprocess.run(listing, capture_output=True, timeout=60, check=True).stdout.decode("utf-8", "replace")
+    except (OSError, subprocess.SubprocessError):
+        return None
+    base = Path(root).resolve()
+    return spark.createDataFrame([(str(base / p),) for p in out.split("\0") if p], "path string")
 
 
 def scan_files(files: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from parlance.functions.text import BLANKS, strip
 
+# fixed values: the unknown speaker, the prefix of a speaker, the time of a cue
 UNKNOWN = "(未知)"
 SPEAKER = f"^{BLANKS}*([^：:（(]{{1,16}}){BLANKS}*[：:]{BLANKS}*([^\\n]+)$"
 CLOCK = r"^(\d+):(\d{2}):(\d{2})"

@@ -178,9 +178,12 @@ def oracle_sql():
             "SELECT doc_id, 'no reply', 'mes_example', 0 FROM g WHERE len(gs) = 0", always("empty lorebook", "character_book"),
         ]),
         "card_to_v3": _CARDS + "SELECT doc_id, CASE WHEN odd THEN 'unknown' ELSE 'v2' END AS kind, 'chara_card_v3' AS spec, '3.0' AS spec_version, name FROM cards",
-        "demo_messages": f"""WITH s AS (SELECT i, sum({_D[1]} % 90 + 1) OVER (ORDER BY i) AS gap, {_D[2]} % 100 < 55 AS mine, {_D[3]} % 100 AS kind FROM range({DEMO_ROWS}) AS x(i))
-            SELECT 'demo' AS src, i AS seq, strftime(TIMESTAMP '{demo.START}' + to_minutes(CAST(gap AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS ts_raw, CASE WHEN mine THEN '{demo.CHAR}' ELSE '{demo.USER}' END AS sender,
-            CASE WHEN NOT mine THEN {_of(demo.LINES, 6)} WHEN kind < 45 THEN {_of(demo.SHORT, 4)} WHEN kind < 62 THEN {_of(demo.WORDS, 4)} || '!' WHEN kind < 75 THEN {_of(demo.WORDS, 4)} || ' ' || {_of(demo.WORDS, 5)}
-              WHEN kind < 85 THEN {_of(demo.SHORT, 4)} || {_of(demo.BRACKETS, 5)} WHEN kind < 93 THEN {_of(demo.SHORT, 4)} || {_of(demo.FACES, 5)} ELSE {_of(demo.SHORT, 4)} || ' ' || {_of(demo.SHORT, 5)} END AS content FROM s""",
+        "demo_messages": f"""WITH s AS (SELECT i, sum({_D[1]} % {demo.LONGEST} + 1) OVER (ORDER BY i) AS gap, {_D[2]} % 100 < {demo.FIRST} AS mine, {_D[3]} % 100 AS form,
+            {_of(demo.PLANTS, 4)} AS plant, {_of(demo.REPORTS, 4)} AS report FROM range({DEMO_ROWS}) AS x(i))
+            SELECT 'demo' AS src, i AS seq, strftime(TIMESTAMP '{demo.START}' + to_minutes(CAST(gap AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS ts_raw,
+            CASE WHEN mine THEN '{demo.GROWER}' ELSE '{demo.NEIGHBOUR}' END AS sender,
+            CASE WHEN NOT mine THEN replace({_of(demo.ASKS, 4)}, '{{}}', {_of(demo.PLANTS, 5)}) WHEN form < 45 THEN report WHEN form < 62 THEN plant || ' ' || ({_D[5]} % 120 + 1) || ' cm'
+              WHEN form < 75 THEN plant || ' ' || {_of(demo.SPOTS, 5)} WHEN form < 85 THEN report || {_of(demo.MARKS, 5)} WHEN form < 93 THEN plant || {_of(demo.SIGNS, 5)}
+              ELSE report || ', then ' || {_of(demo.REPORTS, 5)} END AS content FROM s""",
         "transcript_rows": sql.MESSAGES + "SELECT src, seq, ts_raw || chr(10) || sender || chr(10) || content || chr(10) AS value FROM m",
     }

@@ -3,7 +3,15 @@ Python's formats."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+from itertools import groupby
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from parlance import model
+from parlance.operators import cards as ops
 
 BAR = "█"
 
@@ -49,7 +57,44 @@ def render_profile(sections: dict[str, DataFrame], char: str, user: str, lang: s
     return out
 
 
-def render_warnings(found: DataFrame, lang: str = "en") -> list[str]:
-    """The lines of a card report; the number of findings of a card is bounded by its checks and replies."""
-    rows = found.collect()
-    return [LABELS[lang]["attention"], *[f"! {r.check}: {r.subject} ({r.n})" for r in rows]] if rows else [LABELS[lang]["passed"]]
+def render_card(cards: DataFrame, key: str = "path", greeting: int = model.MOST_GREETING_LINES, example: int = model.MOST_EXAMPLE_LINES, lang: str = "en") -> Iterator[str]:
+    """The lines of the reports of a folder of cards, card by card: what each holds, then what needs attention.
+
+    The findings of all checks are one sorted DataFrame, read partition by partition.
+    """
+    say = lambda k, *x: CARD_LABELS[lang][k].format(*x)
+    for name, group in groupby(card_findings(cards, key, greeting, example).orderBy(key, "part", "i").toLocalIterator(), lambda r: r[key]):
+        last, warned = "", False
+        yield say("card", name)
+        for r in group:
+            if r.part != last:
+                yield say(r.part)
+                last = r.part
+            warned |= r.part == "6"
+            yield "  " + ("! " if r.part == "6" else "") + f"{r.subject}: {r.n}" + (f" {r.note}" if r.note else "")
+        if not warned:
+            yield say("passed")
+
+
+def card_findings(cards: DataFrame, key: str, greeting: int, example: int) -> DataFrame:
+    """(key, part, i, subject, n, note): 1 kind and name, 2 fields, 3 lines of the greeting and the examples,
+    4 lorebook, 5 other greetings, 6 warnings."""
+    body, zero = ops.body(F.col("card")), F.lit(0).cast("bigint")
+    rows = lambda df, part, i, subject, n, note=F.lit(""): df.select(key, F.lit(part).alias("part"), i.cast("bigint").alias("i"), subject.cast("string").alias("subject"), n.cast("bigint").alias("n"), note.alias("note"))
+    lines, others = ops.greeting_lines(cards, key), F.col("idx") > 0
+    empty = F.when(F.col("n_chars") == 0, "(empty)").otherwise("")
+    parts = [
+        rows(cards, "1", zero, ops.kind(F.col("card")), F.coalesce(F.length(body["name"]), zero), F.coalesce(body["name"], F.lit(""))),
+        rows(ops.field_lengths(cards, key), "2", zero, F.col("field"), F.col("n_chars"), empty),
+        rows(lines.where(~others), "3", F.col("idx"), F.lit("first_mes"), F.col("n_lines")), rows(ops.example_lines(cards, key), "3", F.col("idx"), F.col("idx"), F.col("n_lines")),
+        rows(ops.lorebook(cards, key), "4", F.col("idx"), F.coalesce(F.array_join("keys", ", "), F.lit("")), F.col("n_chars")),
+        rows(lines.where(others), "5", F.col("idx"), F.col("idx"), F.col("n_lines")),
+        rows(ops.warnings(cards, key, greeting, example), "6", zero, F.concat_ws(" ", "check", "subject"), F.col("n")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+CARD_LABELS = {
+    "en": {"card": "=== {0} ===", "1": "Kind and name", "2": "Characters of fields", "3": "Lines of greeting and examples", "4": "Lorebook", "5": "Other greetings", "6": LABELS["en"]["attention"], "passed": LABELS["en"]["passed"]},
+    "zh": {"card": "=== {0} ===", "1": "类型与名字", "2": "字段字符数", "3": "开场白与示例行数", "4": "世界书", "5": "其他开场白", "6": LABELS["zh"]["attention"], "passed": LABELS["zh"]["passed"]},
+}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import struct
 import zlib
+from collections.abc import Iterable
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,17 +37,29 @@ def sample_lines(messages: DataFrame, sample: DataFrame) -> DataFrame:
     return head.unionByName(sample.select("month", "pos", F.concat("sender", F.lit(": "), "content").alias("value")))
 
 
+def sample_report(stats: DataFrame) -> list[str]:
+    """The lines beside a sample: a row per month, and the grand total."""
+    rows = stats.orderBy("month").collect()  # one per month
+    line = lambda *x: "{:<7} {:>8} {:>8} {:>8}".format(*x)
+    total = f"Total sampled: {sum(r.sampled for r in rows)} / {sum(r.total for r in rows)}"
+    return [line("month", "total", "sampled", "segments"), *[line(r.month, r.total, r.sampled, r.segments) for r in rows], total]
+
+
 def json_array(rows: DataFrame) -> DataFrame:
     """(value): the rows as JSON lines in the fields of an export."""
     return rows.select(F.to_json(F.struct(F.col("ts_raw").alias("time"), "sender", "content", F.lit(1).alias("type"))).alias("value"))
 
 
-def placeholder_picture(width: int = 400, height: int = 600, top: tuple = (96, 120, 112), bottom: tuple = (24, 40, 36)) -> bytes:
-    """A PNG with a vertical gradient between two colours."""
-    step = [(b - a) / max(1, height - 1) for a, b in zip(top, bottom)]
-    lines = b"".join(b"\0" + bytes(int(a + s * y) for a, s in zip(top, step)) * width for y in range(height))
-    parts = ((b"IHDR", struct.pack(">2I5B", width, height, 8, 2, 0, 0, 0)), (b"IDAT", zlib.compress(lines, 9)), (b"IEND", b""))
-    return SIGNATURE + b"".join(struct.pack(">I", len(d)) + t + d + struct.pack(">I", zlib.crc32(t + d)) for t, d in parts)
+def placeholder_picture(side: int = 256, square: int = 32) -> bytes:
+    """A PNG for cards without one: a chequered tile of one bit a pixel."""
+    light = np.add.outer(np.arange(side) // square, np.arange(side) // square) % 2
+    lines = np.hstack([np.zeros((side, 1), np.uint8), np.packbits(light.astype(np.uint8), axis=1)])  # no filter on any line
+    head = np.array([side, side], ">u4").tobytes() + b"\1\0\0\0\0"
+    return SIGNATURE + b"".join(_part(kind, body) for kind, body in ((b"IHDR", head), (b"IDAT", zlib.compress(lines.tobytes())), (b"IEND", b"")))
+
+
+def _part(kind: bytes, body: bytes) -> bytes:
+    return len(body).to_bytes(4, "big") + kind + body + zlib.crc32(kind + body).to_bytes(4, "big")
 
 
 def _u32(n: Column) -> Column:
@@ -64,13 +77,18 @@ def pictured(cards: DataFrame, card: str = "card", picture: str = "picture") ->
     version, base64 of compact JSON, before the end mark."""
     base = F.coalesce(F.col(picture), F.lit(placeholder_picture()))
     packed = lambda c: F.regexp_replace(F.base64(F.encode(F.to_json(c), "UTF-8")), "[\r\n]", "")
-    cut = F.length(base) - 12  # the end part is twelve bytes
+    # by one byte a character: the last part's name, before its length; what follows the end mark stays behind it
+    letters = F.decode(base, "ISO-8859-1")
+    last = F.length(base) - F.instr(F.reverse(letters), "DNEI") - 7
+    cut = F.when(F.contains(letters, F.lit("IEND")) & (last >= 8), last).otherwise(F.raise_error(F.lit("a picture without its end mark")).cast("int"))
     parts = F.concat(text_part("chara", packed(F.col(card))), text_part("ccv3", packed(to_v3(F.col(card)))))
-    return cards.withColumn("png", F.concat(F.substring(base, F.lit(1), cut), parts, F.substring(base, cut + 1, F.lit(12))))
+    return cards.withColumn("png", F.concat(F.substring(base, F.lit(1), cut), parts, F.substring(base, cut + 1, F.length(base))))
 
 
-def write_report(lines: list[str], path: str) -> None:
-    Path(path).write_text("\n".join(lines), encoding="utf-8")
+def write_report(lines: Iterable[str], path: str) -> None:
+    with open(path, "w", encoding="utf-8") as f:
+        for k, line in enumerate(lines):
+            f.write("\n" + line if k else line)
 
 
 def deploy(cards: DataFrame, directory: str, dry_run: bool = False) -> list[str]:

@@ -3,12 +3,15 @@ import json
 import struct
 import zlib
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from parlance import model
 from parlance.operators import cards, privacy, subtitles
-from parlance.render import render_warnings
+from parlance.render import render_card
 from parlance.sources import demo, exports, sinks
 
 
@@ -52,7 +55,35 @@ def test_transcripts_round_trip(spark, tmp_path):
     sinks.write_transcript(m.coalesce(1), str(tmp_path / "out"))
     got = exports.read_transcripts(spark, str(tmp_path / "out" / "*.txt")).orderBy("seq").collect()
     assert [(r.ts_raw, r.sender, r.content) for r in got] == [("2024-01-01 00:00:00", "a", "one"), ("2024-01-01 00:01:00", "b", "two")]
-    assert list(exports.framed(["", "t ", " s", "c", "", "u", "v", "=====", "x", "y"])) == [("t", "s", "c"), ("v", "=====", "x")]
+    framed = exports.framed("\n".join(["", "t ", " s", "c", "", "u", "v", "=====", "x", "y"]))
+    assert framed.values.tolist() == [["t", "s", "c"], ["v", "=====", "x"]]
+    assert len(exports.framed("")) == 0 and len(exports.framed("a\nb")) == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([1, 4]), max_size=40))
+def test_places_followed_equal_a_walk(steps):
+    at, seen = 0, []
+    while at < len(steps):
+        seen.append(at)
+        at += steps[at]
+    assert exports.followed(np.array(steps, np.int64)).tolist() == seen
+
+
+def test_documents_without_messages_raise(spark):
+    df = spark.createDataFrame([('{"it\'s": [{"time": "t", "content": "c"}], "n": [], "x": 1}', 0), ('[{"time": "t", "content": "d"}]', 1), (None, 2)], "doc string, src long")
+    assert [(r.src, r.seq, r.content) for r in exports.exported(df).orderBy("src").collect()] == [(0, 0, "c"), (1, 0, "d")]
+    for bad in ('{"a": 1, "b": {"c": []}}', "7", "{oops"):
+        with pytest.raises(Exception, match="no array of messages in this"):
+            exports.exported(spark.createDataFrame([(bad, 0)], "doc string, src long")).collect()
+
+
+def test_long_values_are_kept_whole(spark):
+    long = "x" * 1_200_000
+    doc = json.dumps([{"time": "2024-01-01T00:00:00" + long, "content": "c"}])
+    assert len(exports.exported(spark.createDataFrame([(doc, 0)], "doc string, src long")).first().ts_raw) == 1_200_019
+    files = spark.createDataFrame([("a.ass", "Dialogue: 0,0:00:01.00,0:00:02.00,D,Bo,0,0,0,," + long)], "src string, text string")
+    assert len(exports.ass_cues(files).first().body) == 1_200_003
 
 
 def test_subtitles(spark, tmp_path):
@@ -113,7 +144,6 @@ def test_cards(spark):
     found = {(r.id, r.check, r.subject) for r in cards.warnings(df, "id").collect()}
     assert {x for x in found if x[0] == 0} == {(0, "long example", "1")}
     assert (1, "long greeting", "first_mes") in found and (2, "unknown spec", "v9") in found and (3, "no reply", "mes_example") in found
-    assert render_warnings(cards.warnings(df.where("id = 0"), "id")) == ["=== Needs attention ===", "! long example: 1 (6)"]
 
 
 def parts_of(png):
@@ -133,7 +163,11 @@ def test_pictures_and_deploy(spark, tmp_path):
     png = bytes(sinks.pictured(df).first().png)
     parts = parts_of(png)
     assert [k for k, _ in parts] == [b"IHDR", b"IDAT", b"tEXt", b"tEXt", b"IEND"]
-    assert len(zlib.decompress(parts[1][1])) == 600 * (1 + 1200)
+    assert len(zlib.decompress(parts[1][1])) == 256 * (1 + 32)
+    more = bytes(sinks.pictured(df.withColumn("picture", F.lit(sinks.placeholder_picture() + b"tail"))).first().png)
+    assert more == png + b"tail"
+    with pytest.raises(Exception, match="end mark"):
+        sinks.pictured(df.withColumn("picture", F.lit(sinks.SIGNATURE))).collect()
     two, three = (json.loads(base64.b64decode(d.split(b"\0", 1)[1])) for k, d in parts if k == b"tEXt")
     assert two["data"]["name"] == "A/b" and three["spec"] == "chara_card_v3" and three["spec_version"] == "3.0"
     (tmp_path / "p.png").write_bytes(png)
@@ -148,6 +182,20 @@ def test_pictures_and_deploy(spark, tmp_path):
     assert json.loads((tmp_path / "to" / "A_b.json").read_text()) == CARD
 
 
+def test_card_files(spark, tmp_path):
+    df = spark.createDataFrame([("a", '{"spec": "chara_card_v2", "data": {"name": 7, "scenario": "s"}}'), ("b", '{"name": "n", "description": ["x"]}'), ("c", None)], "path string, value string")
+    made = exports.cards_of(df)
+    assert {r.path: r.other for r in made.collect()} == {"a": ["name"], "b": ["description"], "c": []}
+    assert {r.path: r.n_chars for r in cards.field_lengths(made, "path").where("field = 'name'").collect()} == {"a": 0, "b": 1, "c": 0}
+    empty = {(r.path, r.subject) for r in cards.warnings(made, "path").where("check = 'empty field'").collect()}
+    assert ("a", "name") in empty and ("b", "description") in empty and ("b", "name") not in empty and ("a", "scenario") not in empty
+    with pytest.raises(Exception, match="not valid JSON: x"):
+        exports.cards_of(spark.createDataFrame([("x", "{oops")], "path string, value string")).collect()
+    report = list(render_card(card_frame(spark, CARD).withColumnRenamed("id", "path")))
+    assert report[0] == "=== 0 ===" and "  k: 2" in report and "  ! long example 1: 6" in report and report[1] == "Kind and name"
+
+
 def test_demo_is_deterministic(spark):
-    a, b = demo.demo_messages(spark, 500, day=64).orderBy("seq").collect(), demo.demo_messages(spark, 500).orderBy("seq").collect()
-    assert a == b and {r.sender for r in a} == {demo.CHAR, demo.USER} and a[0].ts_raw > demo.START and all(x.ts_raw < y.ts_raw for x, y in zip(a, a[1:]))
+    a, b = demo.demo_messages(spark, 500, block=16).orderBy("seq").collect(), demo.demo_messages(spark, 500).orderBy("seq").collect()
+    assert a == b and {r.sender for r in a} == {demo.GROWER, demo.NEIGHBOUR} and a[0].ts_raw > demo.START and all(x.ts_raw < y.ts_raw for x, y in zip(a, a[1:]))
+    assert demo.demo_messages(spark, 0).count() == 0
