@@ -16,7 +16,7 @@ def test_forms():
     f = charforms.Lattice(BIGRAMS).form
     same = {
         "Unеvеn lаntеrn сlub": "Uneven lantern club", "Ｇｅｎｔｌｅ　puppet​ ": "Gentle puppet", "Café": "Café", " VI­P  x": "VIP  x",
-        "⼀⼤": "一大", "𝐂𝐥𝐮𝐛": "Club", "﻿": "", "": "", "привет мир": "привет мир", "a\tb": "a b",
+        "⼀⼤": "一大", "𝐂𝐥𝐮𝐛": "Club", "﻿": "", "": "", "привет мир": "привет мир", "a\tb": "a b", "москвa": "москва", "ЖИЗНЬ пpивет": "ЖИЗНЬ привет", "λόγoς": "λόγος",
     }
     for k, v in same.items():
         assert f(k) == v, (k, f(k))
@@ -46,6 +46,19 @@ def test_column_form_equals_python_form(spark):
     assert charforms.lattice_of(df.limit(0), "t").bigrams == {}
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("abéжωα ñ1一-Ab", max_size=12), max_size=6))
+def test_pairs_are_counted_within_runs_of_one_script(texts):
+    wanted = {}
+    for t in texts:
+        for r in re.findall(r"[abéñωαж]+", t.lower()):
+            if len({charforms.script(c) for c in r}) == 1:
+                for p in zip("^" + r, r + "$"):
+                    wanted[p] = wanted.get(p, 0) + 1
+    pairs, n = charforms.pair_counts(texts)
+    assert {(chr(p >> 21), chr(p & 0x1FFFFF)): k for p, k in zip(pairs.tolist(), n.tolist())} == wanted
+
+
 SCHEMA = "src string, seq long, id long, who string, what string, t long, content string"
 
 
@@ -86,7 +99,7 @@ def test_runs_against_brute_force(spark):
             rows.append((s, q * (1 if s == "a" else 5000), len(rows) + 1, rnd.choice(["x", "x", "x", " x", "y", None, ""]), rnd.choice(base), rnd.choice([q * 10, None]), "clash"))
     rows += rnd.sample(rows, 40) + [(None, 1, 9001, "x", "ok", 1, "z"), ("a", None, 9002, "x", "ok", 1, "z")]
     df = spark.createDataFrame(rows, SCHEMA)
-    make = lambda d: runs.runs(d, "src", "seq", "id", "who", "what", F.col("what"), F.col("t"), block=16)
+    make = lambda d: runs.runs(d, "src", "seq", "id", "who", "what", charforms.Lattice(), F.col("t"), block=16)
     got = {(r.first_id, r.last_id, r.n): (r.start, r.end) for r in make(df).collect()}
     assert got == brute_runs(rows)
     assert any(k[2] > 2 for k in got) and make(df.limit(0)).count() == 0
