@@ -19,6 +19,11 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(strip(c), F.lit(""))
 
 
+def is_blank(c: Column) -> Column:
+    """Whether nothing but Unicode blanks is in a text."""
+    return ~c.rlike("[^" + BLANKS[1:])
+
+
 def last_char(c: Column) -> Column:
     return F.right(strip(c), F.lit(1))
 

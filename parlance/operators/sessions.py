@@ -1,15 +1,16 @@
 """Sessions of activity between gaps of inactivity, kept in an incrementally merged table.
 
-A batch of events becomes local sessions per (entity, day); those are compared with the stored sessions
+A batch of events becomes local sessions per (entity, hour); those are compared with the stored sessions
 within the gap, bridged ones are merged, and the buckets they lie in are replaced atomically.
 
-Scale: the local step sorts within (entity, day), so a hot entity is spread over its days. Two sessions of
-one entity lie more than ``gap`` apart, so one entity has at most 86400 / gap of them a day, whatever the
-number of events: that bounds every group of the merging step.
+Scale: the local step sorts within (entity, hour), so a hot entity is spread over its hours. Two sessions of
+one entity lie more than ``gap`` apart, so one entity has at most 3600 / gap + 1 local ones an hour, whatever the
+number of events: that bounds every group of the merging step. The number of buckets follows the number of
+sessions and is doubled when they outgrow it.
 
 Defined results: events with a null or blank part of the entity, or without a readable time, are in no
-session; repeated deliveries of one event (same id) count once within a batch; equal times are ordered by
-id; an empty batch leaves the table as it is; extra columns are ignored.
+session; repeated deliveries of one event (same id and time) count once, in whatever batches they come; equal
+times are ordered by id; an empty batch leaves the table as it is; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,18 +19,21 @@ import json
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from parlance.runtime import new_path
+from parlance.runtime import erase, new_path, remove, written
 
-DAY_US = 86_400_000_000
+#: slices of time: of local sessions, and of the table of event ids
+HOUR_US, MONTH_US = 3_600_000_000, 30 * 86_400_000_000
+#: sessions a bucket may hold
+MOST = 2_000_000
 
 
 def local_sessions(events: DataFrame, entity: Sequence[str], ts: str, event_id: str, gap_s: int) -> DataFrame:
-    """(entity, start, end, n, first_id, last_id) of sessions within one day; ``ts`` in microseconds."""
-    rows = events.select(*entity, F.col(ts).alias("_ts"), F.col(event_id).alias("_id"), F.floor(F.col(ts) / DAY_US).alias("_day")).dropna(subset=[*entity, "_ts", "_id"])
-    part = [*entity, "_day"]
+    """(entity, start, end, n, first_id, last_id) of sessions within one hour; ``ts`` in microseconds."""
+    rows = events.select(*entity, F.col(ts).alias("_ts"), F.col(event_id).alias("_id"), F.floor(F.col(ts) / HOUR_US).alias("_slice")).dropna(subset=[*entity, "_ts", "_id"])
+    part = [*entity, "_slice"]
     w = Window.partitionBy(*part).orderBy("_ts", "_id")
     prev = F.lag(F.struct("_ts", "_id")).over(w)
     rows = rows.withColumn("_prev", prev).where(F.col("_prev").isNull() | (F.col("_prev._id") != F.col("_id")))
@@ -38,7 +42,7 @@ def local_sessions(events: DataFrame, entity: Sequence[str], ts: str, event_id:
     return rows.groupBy(*part, "_k").agg(
         F.min("_ts").alias("start"), F.max("_ts").alias("end"), F.count("*").alias("n"),
         F.min(F.struct("_ts", "_id"))["_id"].alias("first_id"), F.max(F.struct("_ts", "_id"))["_id"].alias("last_id"),
-    ).drop("_day", "_k")
+    ).drop("_slice", "_k")
 
 
 def merge_sessions(sessions: DataFrame, entity: Sequence[str], gap_s: int) -> DataFrame:
@@ -54,14 +58,16 @@ def merge_sessions(sessions: DataFrame, entity: Sequence[str], gap_s: int) -> Da
 
 
 class SessionTable:
-    """A stored table of sessions in buckets of the entity's hash.
+    """A stored table of sessions in buckets of the entity's hash, and the ids of the events it holds.
 
-    Each update writes the buckets it touches to a new folder and then replaces the manifest by one rename,
-    so a reader sees either the state before or the state after. ``buckets`` bounds the manifest.
+    Each update writes the buckets it touches to a new folder and then replaces the manifest by one rename, so a
+    reader sees either the state before or the state after; folders that neither the new state nor the one before
+    it names are deleted. The ids lie by month of their events, and an update reads only the months of its batch.
     """
 
-    def __init__(self, spark: SparkSession, entity: Sequence[str], gap_s: int, path: str | None = None, buckets: int = 32):
-        self.spark, self.entity, self.gap_s, self.buckets = spark, list(entity), gap_s, buckets
+    def __init__(self, spark: SparkSession, entity: Sequence[str], gap_s: int, path: str | None = None, buckets: int = 8):
+        """``buckets``: their number in a new table, at least."""
+        self.spark, self.entity, self.gap_s, self.least = spark, list(entity), gap_s, buckets
         self.path = path or new_path(spark, "sessions")
         self.schema = None
         jvm = spark.sparkContext._jvm
@@ -71,13 +77,10 @@ class SessionTable:
         self._options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.hash(*self.entity), F.lit(self.buckets))
-
     def manifest(self) -> dict:
         p = self._jpath(f"{self.path}/manifest.json")
         if not self._fs.exists(p):
-            return {"version": 0, "folders": {}}
+            return {"version": 0, "buckets": 0, "folders": {}, "before": {}, "ids": {}}
         stream = self._fs.open(p)
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
@@ -91,38 +94,66 @@ class SessionTable:
         out.close()
         self._context.rename(tmp, self._jpath(f"{self.path}/manifest.json"), self._options)
 
-    def _read(self, buckets: Sequence[int] | None = None) -> DataFrame | None:
-        folders = self.manifest()["folders"]
-        paths = [f"{self.path}/{v}/_b={b}" for b, v in folders.items() if buckets is None or int(b) in buckets]
-        return self.spark.read.schema(self.schema).parquet(*paths) if paths and self.schema is not None else None
+    def _named(self, folder: str, column: str) -> list[str]:
+        """Values of the partition column of a folder."""
+        at = self._jpath(f"{self.path}/{folder}")
+        names = [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
+        return sorted(n[len(column) + 1 :] for n in names if n.startswith(f"{column}="))
 
-    def _write(self, sessions: DataFrame, folder: str) -> list[str]:
+    def _write(self, sessions: DataFrame, folder: str, buckets: int) -> list[str]:
         """Written with one file per bucket: the partition of an entity is its bucket."""
-        placed = sessions.repartition(self.buckets, *self.entity).withColumn("_b", self._bucket())
+        placed = sessions.repartition(buckets, *self.entity).withColumn("_b", F.pmod(F.hash(*self.entity), F.lit(buckets)))
         placed.write.partitionBy("_b").option("compression", "zstd").parquet(f"{self.path}/{folder}")
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._jpath(f"{self.path}/{folder}"))]
-        return sorted(n[3:] for n in names if n.startswith("_b="))
+        return self._named(folder, "_b")
 
     def _read(self, folders: dict[str, str]) -> list[DataFrame]:
         paths = [f"{self.path}/{v}/_b={b}" for b, v in sorted(folders.items())]
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
         return [reader.parquet(*paths)] if paths else []
 
+    def _unseen(self, events: DataFrame, known: dict[str, list[str]]) -> DataFrame:
+        """Events without those that earlier batches held."""
+        months = [str(r[0]) for r in events.select("_m").distinct().collect()]  # one row a month
+        paths = [f"{self.path}/{v}/_m={m}" for m in months for v in known.get(m, ())]
+        if not paths:
+            return events
+        ids = self.spark.read.schema(events.select("_id", "_ts").schema).parquet(*paths)
+        return events.join(ids, ["_id", "_ts"], "left_anti")
+
     def update(self, events: DataFrame, ts: str, event_id: str) -> None:
-        """Merge one batch of events that no earlier batch held: its local sessions are staged, compared
-        with the stored sessions of the buckets they lie in, and those buckets replaced."""
-        local = local_sessions(events, self.entity, ts, event_id, self.gap_s)
-        self.schema = local.schema
+        """Merge one batch of events: those not held yet are staged as local sessions, compared with the stored
+        sessions of the buckets they lie in, and those buckets replaced."""
+        rows = events.select(*self.entity, F.col(ts).alias("_ts"), F.col(event_id).alias("_id"), F.floor(F.col(ts) / MONTH_US).alias("_m")).dropna()
         before = self.manifest()
         version = before["version"] + 1
-        touched = self._write(local, f"staged{version}")
-        staged = self._read({b: f"staged{version}" for b in touched})
-        stored = self._read({b: v for b, v in before["folders"].items() if b in touched})
+        fresh = written(self._unseen(rows, before["ids"]), "fresh")
+        local = local_sessions(fresh, self.entity, "_ts", "_id", self.gap_s)
+        self.schema = local.schema
+        staged = written(local, "staged")
+        n = staged.count() + sum(before.get("sizes", {}).values())
+        buckets = max(before["buckets"], self.least)
+        while n > MOST * buckets:
+            buckets *= 2
+        moved = before["folders"] if buckets != before["buckets"] else {}
+        names = staged.select(F.pmod(F.hash(*self.entity), F.lit(buckets)).alias("b")).distinct().collect()  # one row a bucket
+        touched = {str(r.b) for r in names}
+        stored = self._read(moved or {b: v for b, v in before["folders"].items() if b in touched})
+        folders, sizes = ({}, {}) if moved else (before["folders"], before.get("sizes", {}))
         if touched:
-            both = reduce(DataFrame.unionByName, [*staged, *stored]).repartition(self.buckets, *self.entity)
-            self._write(merge_sessions(both, self.entity, self.gap_s), f"v{version}")
-        self._commit({"version": version, "folders": before["folders"] | {b: f"v{version}" for b in touched}})
-        self._fs.delete(self._jpath(f"{self.path}/staged{version}"), True)
+            both = reduce(DataFrame.unionByName, [staged, *stored]).repartition(buckets, *self.entity)
+            new = self._write(merge_sessions(both, self.entity, self.gap_s), f"v{version}", buckets)
+            folders = folders | {b: f"v{version}" for b in new}
+            counts = self.spark.read.parquet(f"{self.path}/v{version}").groupBy("_b").count().collect()  # one row a bucket
+            sizes = sizes | {str(r._b): r["count"] for r in counts}
+            fresh.select("_id", "_ts", "_m").repartition("_m", F.pmod(F.hash("_id"), F.lit(buckets))).write.partitionBy("_m").option("compression", "zstd").parquet(f"{self.path}/ids{version}")
+        ids = dict(before["ids"])
+        for m in self._named(f"ids{version}", "_m"):
+            ids[m] = [*ids.get(m, []), f"ids{version}"]
+        self._commit({"version": version, "buckets": buckets, "folders": folders, "sizes": sizes, "before": before["folders"], "ids": ids})
+        for b, v in before["before"].items():
+            if v not in (folders.get(b), before["folders"].get(b)):
+                remove(self.spark, f"{self.path}/{v}/_b={b}")
+        erase(fresh, staged)
 
     def sessions(self) -> DataFrame:
         """The current state; empty before the first update with events. A table opened anew at its path

@@ -5,34 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.functions.stamps import DAY, iso_micros
+from parlance.functions.stamps import iso_micros
 from parlance.functions.text import blank_to_null, strip
 from parlance.operators import sessions, timestamps
 from parlance.plans.sql import strip as strip_sql
-from parlance.runtime import table, written
+from parlance.runtime import erase, table, written
 
 GAP_S = 30 * 60
-SLAB_DAYS = 64
+#: batches of deliveries
+BATCHES = 3
 #: zones that writers who declare none may be in
 ZONES = ("America/Chicago", "America/Los_Angeles", "America/New_York", "Asia/Kathmandu", "Asia/Kolkata", "Asia/Shanghai", "Australia/Sydney", "Europe/Berlin", "Europe/London", "UTC")
 
 
 def chat_events(spark: SparkSession, d: str) -> DataFrame:
-    """(src, sender, msg_id, ts): deliveries with a sender and a readable time."""
+    """(src, sender, msg_id, ts, loaded_at): deliveries with a sender and a readable time."""
     who, ts = blank_to_null(F.col("sender")), iso_micros(strip(F.col("time")))
-    rows = table(spark, d, "chat_messages").select("src", "msg_id", F.explode(F.array(F.struct(who.alias("sender"), ts.alias("ts")))).alias("x"))
-    return rows.select("src", "x.sender", "msg_id", "x.ts").dropna()
+    rows = table(spark, d, "chat_messages").select("src", "msg_id", "loaded_at", F.explode(F.array(F.struct(who.alias("sender"), ts.alias("ts")))).alias("x"))
+    return rows.select("src", "x.sender", "msg_id", "x.ts", "loaded_at").dropna(subset=["src", "sender", "msg_id", "ts"])
 
 
 def session_table(spark: SparkSession, d: str) -> DataFrame:
-    """All sessions, from two batches that interleave slabs of days, as a backfill would bring them.
-
-    Deliveries of one message have one time, so they are in one batch.
-    """
-    events = written(chat_events(spark, d), "events")  # times are read once, for both batches
+    """All sessions, loaded in batches as the deliveries arrived: each batch is a stretch of whole days of
+    ``loaded_at``, so late messages and repeated deliveries come in later batches than their neighbours."""
+    events = written(chat_events(spark, d), "events")  # times are read once, for all batches
+    day = F.coalesce(F.date_diff("loaded_at", F.lit("1970-01-01").cast("date")), F.lit(0))
+    cuts = events.agg(F.percentile_approx(day, [k / BATCHES for k in range(1, BATCHES)]).alias("c")).first().c or []
     store = sessions.SessionTable(spark, ["src", "sender"], GAP_S)
-    for half in (0, 1):
-        store.update(events.where(F.pmod(F.floor(F.col("ts") / (DAY * SLAB_DAYS)), F.lit(2)) == half), "ts", "msg_id")
+    batch = sum((F.when(day > c, 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
+    for k in range(len(set(cuts)) + 1):
+        store.update(events.where(batch == k), "ts", "msg_id")
+    erase(events)
     return store.sessions()
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -17,10 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session's ``spark.checkpoint.dir`` names it.
 
-    Only where the setting is absent (a single machine, as in tests) a temporary folder is made and set.
+    Only on a single machine, as in tests, a temporary folder is made and set where the setting is absent; on a
+    cluster its absence raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="parlance-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -36,8 +38,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
 
 
-def package_root() -> str:
-    return os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+def erase(*tables: DataFrame) -> None:
+    """Deletes tables made by ``written`` that no later stage reads."""
+    for t in tables:
+        remove(t.sparkSession, t._written)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

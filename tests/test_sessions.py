@@ -1,5 +1,6 @@
 import random
 
+from parlance.operators import sessions
 from parlance.operators.sessions import SessionTable, local_sessions, merge_sessions
 
 GAP = 1800
@@ -54,6 +55,26 @@ def test_bridge_across_days_and_batches(spark):
     assert _result(store) == {1: 2, 3: 1}
 
 
+def test_deliveries_repeated_in_a_later_batch_count_once(spark):
+    rows = [(i, "a", "x", i * 60_000_000, "") for i in (1, 2, 3)]
+    store = SessionTable(spark, ["src", "who"], GAP, buckets=2)
+    store.update(spark.createDataFrame(rows[:2], SCHEMA), "ts", "id")
+    store.update(spark.createDataFrame(rows[1:] + rows[2:], SCHEMA), "ts", "id")
+    assert _result(store) == {1: 3}
+    store.update(spark.createDataFrame(rows, SCHEMA), "ts", "id")
+    assert _result(store) == {1: 3} and store.manifest()["version"] == 3
+
+
+def test_buckets_grow_and_old_folders_go(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sessions, "MOST", 10)
+    rows = [(i, f"s{i % 30}", "x", i * 7_200_000_000, "") for i in range(120)]
+    store = SessionTable(spark, ["src", "who"], GAP, path=str(tmp_path / "t"), buckets=1)
+    for k in range(4):
+        store.update(spark.createDataFrame(rows[k * 30 : k * 30 + 30], SCHEMA), "ts", "id")
+    assert store.manifest()["buckets"] == 16 and _result(store) == brute(rows)
+    assert not list((tmp_path / "t" / "v1").glob("_b=*"))
+
+
 def test_reopened_at_its_path(spark):
     store = SessionTable(spark, ["src", "who"], GAP, buckets=2)
     assert store.sessions().count() == 0
