@@ -5,7 +5,6 @@ All functions are compositions of built-in expressions, independent of the sessi
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -42,11 +41,6 @@ def number(text: Column, pattern: str, i: int) -> Column:
     return group(text, pattern, i).try_cast("int")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over ``value``, which is computed once, however often the body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def first_of(*cs: Column) -> Column:
     return reduce(lambda a, b: F.coalesce(a, b), cs)
 

@@ -53,3 +53,19 @@ def ahead(df: DataFrame, keys: Sequence[str], order: str, carry: Column, block:
     edges = ahead(edges, keys, b, F.col(first), block, levels - 1).select(*keys, b, F.col("_next").alias(first))
     rows = rows.join(edges, [*keys, b], "left").withColumn("_next", F.coalesce("_next", first))
     return rows.drop("_carry", first, b)
+
+
+def last_known(df: DataFrame, keys: Sequence[str], order: str, carry: Column, block: int = BLOCK, levels: int = 1) -> DataFrame:
+    """``df`` with ``_known``: the last value of ``carry`` that isn't null among the rows before. Rows of one place
+    in the order may be several; which of them comes first is then open."""
+    keys = list(keys)
+    b = f"_b{levels}"
+    rows = df.dropna(subset=[*keys, order]).withColumn("_carry", carry).withColumn(b, F.floor(F.col(order) / block) if levels else F.lit(0))
+    w = Window.partitionBy(*keys, b).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_known", F.last("_carry", True).over(w))
+    if not levels:
+        return rows.drop("_carry", b)
+    last = f"_last{levels}"
+    edges = rows.groupBy(*keys, b).agg(F.max_by(F.col("_carry"), F.when(F.col("_carry").isNotNull(), F.col(order))).alias(last))
+    edges = last_known(edges, keys, b, F.col(last), block, levels - 1).select(*keys, b, F.col("_known").alias(last))
+    return rows.join(edges, [*keys, b], "left").withColumn("_known", F.coalesce("_known", last)).drop("_carry", last, b)

@@ -19,7 +19,7 @@ import json
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parlance.runtime import erase, new_path, remove, written
@@ -28,6 +28,8 @@ from parlance.runtime import erase, new_path, remove, written
 HOUR_US, MONTH_US = 3_600_000_000, 30 * 86_400_000_000
 #: sessions a bucket may hold
 MOST = 2_000_000
+#: files of a month's ids in one batch
+SPREAD = 8
 
 
 def local_sessions(events: DataFrame, entity: Sequence[str], ts: str, event_id: str, gap_s: int) -> DataFrame:
@@ -58,11 +60,11 @@ def merge_sessions(sessions: DataFrame, entity: Sequence[str], gap_s: int) -> Da
 
 
 class SessionTable:
-    """A stored table of sessions in buckets of the entity's hash, and the ids of the events it holds.
+    """A stored table of sessions in buckets of the entity's hash, and the events it holds.
 
     Each update writes the buckets it touches to a new folder and then replaces the manifest by one rename, so a
     reader sees either the state before or the state after; folders that neither the new state nor the one before
-    it names are deleted. The ids lie by month of their events, and an update reads only the months of its batch.
+    it names are deleted. The events lie by month, and an update reads only the months of its batch.
     """
 
     def __init__(self, spark: SparkSession, entity: Sequence[str], gap_s: int, path: str | None = None, buckets: int = 8):
@@ -80,13 +82,16 @@ class SessionTable:
     def manifest(self) -> dict:
         p = self._jpath(f"{self.path}/manifest.json")
         if not self._fs.exists(p):
-            return {"version": 0, "buckets": 0, "folders": {}, "before": {}, "ids": {}}
+            return {"version": 0, "buckets": 0, "most": 0, "folders": {}, "before": {}, "ids": {}}
         stream = self._fs.open(p)
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.hash(*self.entity), F.lit(buckets))
+
     def _commit(self, manifest: dict) -> None:
         tmp = self._jpath(f"{self.path}/manifest.{manifest['version']}.tmp")
         out = self._fs.create(tmp, True)
@@ -102,7 +107,7 @@ class SessionTable:
 
     def _write(self, sessions: DataFrame, folder: str, buckets: int) -> list[str]:
         """Written with one file per bucket: the partition of an entity is its bucket."""
-        placed = sessions.repartition(buckets, *self.entity).withColumn("_b", F.pmod(F.hash(*self.entity), F.lit(buckets)))
+        placed = sessions.repartition(buckets, *self.entity).withColumn("_b", self._bucket(buckets))
         placed.write.partitionBy("_b").option("compression", "zstd").parquet(f"{self.path}/{folder}")
         return self._named(folder, "_b")
 
@@ -113,6 +118,8 @@ class SessionTable:
 
     def _unseen(self, events: DataFrame, known: dict[str, list[str]]) -> DataFrame:
         """Events without those that earlier batches held."""
+        if not known:
+            return events
         months = [str(r[0]) for r in events.select("_m").distinct().collect()]  # one row a month
         paths = [f"{self.path}/{v}/_m={m}" for m in months for v in known.get(m, ())]
         if not paths:
@@ -121,39 +128,39 @@ class SessionTable:
         return events.join(ids, ["_id", "_ts"], "left_anti")
 
     def update(self, events: DataFrame, ts: str, event_id: str) -> None:
-        """Merge one batch of events: those not held yet are staged as local sessions, compared with the stored
-        sessions of the buckets they lie in, and those buckets replaced."""
+        """Merge one batch of events: those not held yet are written by month, their local sessions staged, compared
+        with the stored sessions of the buckets they lie in, and those buckets replaced."""
         rows = events.select(*self.entity, F.col(ts).alias("_ts"), F.col(event_id).alias("_id"), F.floor(F.col(ts) / MONTH_US).alias("_m")).dropna()
         before = self.manifest()
         version = before["version"] + 1
-        fresh = written(self._unseen(rows, before["ids"]), "fresh")
-        local = local_sessions(fresh, self.entity, "_ts", "_id", self.gap_s)
+        fresh = f"ids{version}"
+        self._unseen(rows, before["ids"]).repartition("_m", F.pmod(F.hash("_id"), F.lit(SPREAD))).write.partitionBy("_m").option("compression", "zstd").parquet(f"{self.path}/{fresh}")
+        months = self._named(fresh, "_m")
+        held = self.spark.read.schema(rows.schema).parquet(f"{self.path}/{fresh}")
+        local = local_sessions(held, self.entity, "_ts", "_id", self.gap_s)
         self.schema = local.schema
-        staged = written(local, "staged")
-        n = staged.count() + sum(before.get("sizes", {}).values())
-        buckets = max(before["buckets"], self.least)
-        while n > MOST * buckets:
-            buckets *= 2
-        moved = before["folders"] if buckets != before["buckets"] else {}
-        names = staged.select(F.pmod(F.hash(*self.entity), F.lit(buckets)).alias("b")).distinct().collect()  # one row a bucket
-        touched = {str(r.b) for r in names}
-        stored = self._read(moved or {b: v for b, v in before["folders"].items() if b in touched})
-        folders, sizes = ({}, {}) if moved else (before["folders"], before.get("sizes", {}))
-        if touched:
+        buckets, folders, most = max(before["buckets"], self.least), before["folders"], before["most"]
+        staged = None
+        if months:
+            staged = written(local, "staged")
+            counts = lambda: {str(r.b): r["count"] for r in staged.groupBy(self._bucket(buckets).alias("b")).count().collect()}  # noqa: E731  (one row a bucket)
+            touched = counts()
+            most += sum(touched.values())
+            if most > MOST * buckets:
+                while most > MOST * buckets:
+                    buckets *= 2
+                stored, folders = self._read(folders), {}
+            else:
+                stored = self._read({b: v for b, v in folders.items() if b in touched})
             both = reduce(DataFrame.unionByName, [staged, *stored]).repartition(buckets, *self.entity)
             new = self._write(merge_sessions(both, self.entity, self.gap_s), f"v{version}", buckets)
             folders = folders | {b: f"v{version}" for b in new}
-            counts = self.spark.read.parquet(f"{self.path}/v{version}").groupBy("_b").count().collect()  # one row a bucket
-            sizes = sizes | {str(r._b): r["count"] for r in counts}
-            fresh.select("_id", "_ts", "_m").repartition("_m", F.pmod(F.hash("_id"), F.lit(buckets))).write.partitionBy("_m").option("compression", "zstd").parquet(f"{self.path}/ids{version}")
-        ids = dict(before["ids"])
-        for m in self._named(f"ids{version}", "_m"):
-            ids[m] = [*ids.get(m, []), f"ids{version}"]
-        self._commit({"version": version, "buckets": buckets, "folders": folders, "sizes": sizes, "before": before["folders"], "ids": ids})
+            erase(staged)
+        ids = before["ids"] | {m: [*before["ids"].get(m, []), fresh] for m in months}
+        self._commit({"version": version, "buckets": buckets, "most": most, "folders": folders, "before": before["folders"], "ids": ids})
         for b, v in before["before"].items():
             if v not in (folders.get(b), before["folders"].get(b)):
                 remove(self.spark, f"{self.path}/{v}/_b={b}")
-        erase(fresh, staged)
 
     def sessions(self) -> DataFrame:
         """The current state; empty before the first update with events. A table opened anew at its path

