@@ -66,7 +66,8 @@ def p6_zone_violations(spark: SparkSession, d: str) -> DataFrame:
     those that violate it."""
     writers = table(spark, d, "exporters")
     parsed = written(timestamps.stamps(table(spark, d, "raw_records"), writers, "exporter_id", FIELDS, ["rec_id", "exporter_id"]), "stamps")
-    support = timestamps.zone_support(timestamps.aligned(parsed, "rec_id", "exporter_id"), parsed, "exporter_id", sorted(timestamps.available_timezones()))
+    evidence = written(timestamps.aligned(parsed, "rec_id", "exporter_id"), "evidence")
+    support = timestamps.zone_support(evidence, parsed, "exporter_id", sorted(timestamps.available_timezones()))
     return timestamps.resolve_zones(writers.withColumn("zone", F.lit(None).cast("string")), "exporter_id", support, True).join(writers.select("exporter_id", F.col("zone").alias("declared")), "exporter_id")
 
 
