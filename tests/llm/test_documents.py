@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from parlance.llm import leaks, packing, residue
+from parlance.runtime import written
 
 ITEM = "The lamplighter borrowed a frozen pulley when the shops had closed. If the orchard stays quiet, Glawen will want a second cellar beside the depot. Ask Ospen about the ferry and you get fifty minutes on the curtain instead."
 HAN = "昨晚的车站口只卖车票价钱是八颗纽扣屿樱先生和你为风筝吵过五十七回最后都去车站口看雨然后拍下榕澜说话碎一句拆成四句句尾爱带嘛"
@@ -124,30 +125,61 @@ def test_near_duplicates_carry_labels(spark):
 
 
 def test_links_are_exact(spark):
-    """All pairs within the Hamming distance and similarity are found."""
+    """All pairs of the similarity are found, however many bits differ."""
     sh = residue.Shingler()
     rnd = random.Random(2)
     words = [f"w{chr(97 + k)}{chr(97 + j)}" for k in range(20) for j in range(20)]
     base = [rnd.sample(words, 40) for _ in range(6)]
     texts = [" ".join(b) for b in base] + [" ".join(b[k:]) for b in base for k in (1, 2, 3)] + [" ".join(b[:20] + b[22:]) for b in base]
+    for n in (2, 3, 4, 8, 9, 13, 14, 24, 60):  # short ones, where a word more is near the least similarity
+        b = rnd.sample(words, n + 6)
+        texts += [" ".join(b[:n]), " ".join(b[: n + 1]), " ".join(b[: n - 1] + b[n : n + 1]), " ".join(b[: n + 3]), " ".join(b[1:n])]
     nodes = []
-    for t in texts:
+    for t in dict.fromkeys(texts):
         h, _, _ = sh.words(t)
-        s, _ = sh.shingles(h, np.zeros(len(h), np.int64))
+        s, *_ = sh.shingles(h, np.zeros(len(h), np.int64))
         nodes.append(residue._node(h, s))
     want = set()
     for a in nodes:
         for b in nodes:
             x, y = set(a[2]), set(b[2])
-            if a[0] != b[0] and bin((a[1] ^ b[1]) & (2**64 - 1)).count("1") <= residue.HAMMING and len(x & y) >= residue.SIMILAR * len(x | y):
+            if a[0] != b[0] and len(x & y) >= residue.SIMILAR * len(x | y):
                 want.add((a[0], b[0]))
     got = {(r.a, r.b) for r in residue.links(spark.createDataFrame(nodes, residue.NODE)).collect()}
     assert got == want and want
 
 
-def test_repeating_has_no_blind_spot():
-    for unit in ("ab", "abc ", "占位内容", "sample text "):
-        for shift in range(9):
-            t = "x" * shift + "prefix z " + unit * (-(-40 // len(unit)))
-            assert residue.repeating([t]) == [0], (unit, shift)
-    assert residue.repeating(["-" * 60, "no two are alike in this one", ""]) == []
+def test_passages_repeated_in_a_row_are_filler(spark):
+    long = "Replace this whole dummy sentence with the real one soon please now. "
+    texts = [long * 8, "a\n" + "esta frase entera espera a su contenido\n" * 4, "昨晚的车站口只卖车票价钱是八颗纽扣呀。" * 5, long * 3, "ha ha!\n" * 9, "-----\n" * 9, long + "x. " + long * 2]
+    assert [residue.repeated_passage(t) is not None for t in texts] == [True, True, True, False, False, False, False]
+    assert {0, 1, 2} <= residue.suspects(texts) and not {3, 6} & residue.suspects(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in residue.residue(df, "doc_id", "text").collect()} == {0, 1, 2}
+
+
+def test_talk_about_pages_is_none_and_other_messages_are():
+    told = lambda t: bool(residue.residue_in(t, residue._anchors()))
+    for t in ("His javascript course needs a new teacher", "The 404 Not Found joke was old", "the site can be reached by bus", "she works in maintenance"):
+        assert not told(t), t
+    for t in ("This site can't be reached", "Page cannot be displayed", "ERR_CONNECTION_REFUSED", "Our systems are undergoing maintenance", "This site needs JavaScript", "404 Not Found", "well 404 Not Found"):
+        assert told(t), t
+
+
+def test_withheld_labels_come_back(spark):
+    """The labels of every fourth document withheld: what share of its residue the near-duplicates tell again, and
+    how much else they tell. Placeholders are no matter of near-duplicates."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    marks = written(residue.trusted(docs, "doc_id", "text"), "marks")
+    rows = {}
+    for r in marks.select("doc_id", "kind").collect():
+        rows.setdefault(r.doc_id, set()).add(r.kind)
+    held = {i for i, kinds in rows.items() if i % 4 == 0 and kinds & {"notice", "error", "filler"}}
+    got = {r.doc_id for r in residue.propagated(docs, "doc_id", "text", marks.where("doc_id % 4 != 0")).distinct().collect()}
+    assert len(got & held) >= 0.7 * len(held) and len(got & set(rows)) >= 0.98 * len(got), (len(got & held), len(held), len(got & set(rows)), len(got))
+
+
+def test_map_follows_the_number_of_shingles(spark):
+    nodes = spark.range(600_000).selectExpr("array(xxhash64(id)) AS shingles")
+    flat = residue.shingle_map(nodes)
+    assert len(flat) * 64 == 1 << 24 and np.unpackbits(flat.view(np.uint8)).sum() > 580_000
