@@ -1,20 +1,23 @@
 """Personal information inside free text: found, and replaced by typed placeholders.
 
 Method: anchor expansion. One Aho-Corasick pass over the text in its consistent character form finds
-anchors: at-signs and their spoken forms, digits, words that introduce addresses and documents, parts of
-personal names and words that introduce names. At each anchor a deterministic local parser expands to the
-boundaries of the thing and validates it (digits of a number, date inside an identity number, house number,
-both parts of a name). Found spans are mapped back to the text as stored, so all else is kept.
+anchors: at-signs and their spoken forms, schemes, digits, words that introduce addresses and documents, parts of
+personal names and words that introduce names. An e-mail address is expanded from its at-sign in both directions
+as far as its characters go, a Chinese name from its given name; the other things are read by deterministic
+parsers that a text without their anchors is spared. Each parser validates what it found (digits of a number, date
+inside an identity number, house number, both parts of a name). No parser has a reach beyond which a thing would be
+cut. Found spans are mapped back to the text as stored, so all else is kept.
 
 Defined results: null stays null and holds nothing; empty and blank texts hold nothing; overlapping finds
-keep the kind that comes first in KINDS; texts of any length are read whole.
+keep the kind that comes first in KINDS; texts of any length are read whole; a user's part of a web address is none.
 """
 
 from __future__ import annotations
 
 import datetime
 import unicodedata
-from collections.abc import Iterable, Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator, Sequence
 
 import ahocorasick
 import pandas as pd
@@ -25,14 +28,34 @@ from pyspark.sql import functions as F
 from parlance.llm.charforms import _BLANK, _IGNORED, _OTHER, _TOKEN, Lattice
 
 KINDS = ("email", "id_number", "phone", "address", "name")
-REACH = 120
 
 # --- parsers -------------------------------------------------------------------------------------------------
-EMAIL = regex.compile(
-    r"(?<![A-Za-z0-9._+-])[A-Za-z0-9][A-Za-z0-9._+-]*(?:\ ?(?:@|\[at\]|\(at\)|\{at\})\ ?[A-Za-z0-9-]+(?:(?:\.|\ ?\[dot\]\ ?|\ ?\(dot\)\ ?)[A-Za-z0-9-]+)*(?:\.|\ ?\[dot\]\ ?|\ ?\(dot\)\ ?)[A-Za-z]{2,}"
-    r"|\ (?:at|arroba|艾特)\ [A-Za-z0-9-]+(?:(?:\ (?:dot|punto|点)\ |\.)[A-Za-z0-9-]+)*\ (?:dot|punto|点)\ [A-Za-z]{2,})(?![A-Za-z0-9-])",
-    regex.I,
-)
+# what stands before and behind an at-sign, written or spoken
+_DOT = r"(?:\.|\ ?\[dot\]\ ?|\ ?\(dot\)\ ?)"
+_WRITTEN = regex.compile(rf"\ ?[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*{_DOT}[A-Za-z]{{2,}}(?![A-Za-z0-9-])", regex.I)
+_SPOKEN = regex.compile(r"[A-Za-z0-9-]+(?:(?:\ (?:dot|punto|点)\ |\.)[A-Za-z0-9-]+)*\ (?:dot|punto|点)\ [A-Za-z]{2,}(?![A-Za-z0-9-])", regex.I)
+_LOCAL_SET = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._+-")
+_URL_SET = _LOCAL_SET | frozenset(":/%@~")
+AT_WRITTEN, AT_SPOKEN = ("@", "[at]", "(at)", "{at}"), (" at ", " arroba ", " 艾特 ")
+
+
+def email_at(text: str, start: int, end: int, spoken: bool) -> tuple[int, int] | None:
+    """The e-mail address around an at-sign that stands at [start, end)."""
+    s = start - (not spoken and start > 0 and text[start - 1] == " ")
+    first = s
+    while first and text[first - 1] in _LOCAL_SET:
+        first -= 1
+    while first < s and not text[first].isalnum():
+        first += 1
+    m = first < s and (_SPOKEN if spoken else _WRITTEN).match(text, end)
+    if not m:
+        return None
+    before = first
+    while before and not text[before - 1].isspace() and text[before - 1] in _URL_SET:
+        before -= 1
+    return None if "://" in text[before:first] else (first, m.end())
+
+
 ID18 = regex.compile(r"(?<![\dA-Za-z])\d{6}[ -]?(\d{4})(\d{2})(\d{2})[ -]?\d{3}[\dXx](?![\dA-Za-z])")
 SOCIAL = regex.compile(r"(?<![\d-])\d{3}([- ])\d{2}\1\d{4}(?![\d-])")
 PASSPORT = regex.compile(r"(?:passport|pasaporte|护照|通行证|documento|dni|nie)[^\dA-Za-z]{0,3}(?:(?:no|nr|number|num|número|núm|号码?|nº)[.: °ºo]{0,3})?[^\dA-Za-z]{0,3}([A-Z]{1,2}\d{6,9}|\d{8}[A-Z]?)(?![\dA-Za-z])", regex.I)
@@ -62,11 +85,18 @@ FAMILIES2 = frozenset("欧阳 司马 上官 诸葛 令狐 濮阳 夏侯 皇甫 
 _T = r"(?:\p{Lu}[\p{Ll}'’]+|\p{Lu}{2,})"
 LATIN_NAME = regex.compile(rf"(?<![\p{{L}}\p{{N}}@._+-])(?:(?P<g1>{_T})(?:\ \p{{Lu}}\.)?\ (?P<f1>{_T}(?:-{_T})?)|(?P<f2>{_T}(?:-{_T})?),\ (?P<g2>{_T}))(?![\p{{L}}\p{{N}}@_]|[.+-][\p{{L}}\p{{N}}])")
 LOWER_NAME = regex.compile(r"(?<![\p{L}\p{N}@._+-])(?P<g1>\p{Ll}{2,}) (?:\p{Ll}\. )?(?P<f1>\p{Ll}{2,}(?:-\p{Ll}{2,})?)(?![\p{L}\p{N}@_-])")
-CUE_BEFORE = regex.compile(r"(?:\b(?:ran into|ask for|asked for|ship it to|send it to|sent to|this is|my name is|name is|i am|i'm|here:|name:|soy|me llamo|vi a|conocí a|a nombre de|signed by|call|meet|dear|mr\.?|mrs\.?|ms\.?|sra?\.?|don|doña))\s*$", regex.I)
-CUE_AFTER = regex.compile(r"^\s*(?:signed for|signed|, mail me|mail me|, mi correo|mi correo|at the desk|called|has moved|lives at|vive en|/ )", regex.I)
+# fixed values: words that announce a name, and words behind one
+BEFORE = ("ran into", "ask for", "asked for", "ship it to", "send it to", "sent to", "this is", "my name is", "name is", "i am", "i'm", "here:", "name:", "soy", "me llamo", "vi a", "conocí a", "a nombre de",
+          "signed by", "call", "meet", "dear", "mr", "mr.", "mrs", "mrs.", "ms", "ms.", "sr", "sr.", "sra", "sra.", "don", "doña")
+BEHIND = ("signed for", "signed", ", mail me", "mail me", ", mi correo", "mi correo", "at the desk", "called", "has moved", "lives at", "vive en", "/ ")
+CUE_BEFORE = regex.compile(r"(?:\b(?:" + "|".join(map(regex.escape, sorted(BEFORE, key=len, reverse=True))) + r"))\s*$", regex.I)
+CUE_AFTER = regex.compile(r"^\s*(?:" + "|".join(map(regex.escape, BEHIND)) + ")", regex.I)
+# fixed values: the same in Chinese
+HAN_BEFORE = ("联系", "收件人", "寄件人", "找", "我叫", "叫做", "名叫", "碰到", "遇到", "见到", "请附", "附上", "署名", "姓名", "本人", "我是", "转交", "交给")
+HAN_BEHIND = ("刚打电话", "打电话来", "来电", "签收")
 HAN_CUE = regex.compile(
-    r"(?:联系|收件人|寄件人|找|我叫|叫做|名叫|碰到|遇到|见到|请附|附上|署名|姓名|本人|我是|转交|交给)[:： ]?(?P<n>\p{Han}{2,4}?)(?=就行|签字|了|[,，:：。 ]|和|以后|收|$|\d)"
-    r"|(?:^|[,，。!！ :：])(?P<n2>\p{Han}{2,4}?)(?=刚打电话|打电话来|来电|签收)"
+    rf"(?:{'|'.join(HAN_BEFORE)})[:： ]?(?P<n>\p{{Han}}{{2,4}}?)(?=就行|签字|了|[,，:：。 ]|和|以后|收|$|\d)"
+    rf"|(?:^|[,，。!！ :：])(?P<n2>\p{{Han}}{{2,4}}?)(?={'|'.join(HAN_BEHIND)})"
 )
 
 
@@ -100,11 +130,12 @@ class Finder:
         self.han_family = {p for p in self.family if regex.match(r"\p{Han}", p)} | FAMILIES | FAMILIES2
         self.anchors = ahocorasick.Automaton()
         words = {
-            "email": ["@", "[at]", "(at)", "{at}", " at ", " arroba ", " 艾特 "],
-            "number": list("0123456789"),
+            "written": AT_WRITTEN, "spoken": AT_SPOKEN,
+            "number": tuple("0123456789"),
             "name": [p for p in self.given | self.family if not regex.match(r"\p{Han}", p)],
-            "cue": ["ran into", "ask for", "ship it to", "send it to", "this is", "name", "here:", "soy ", "me llamo", "vi a ", "nombre de", "signed", "mail me", "mi correo", "i am ", "i'm ", "call ", "dear ", "conocí a", "mr ", "mr.", "mrs", "sra ", "sr. ", "doña "],
-            "han": sorted(self.han_given) + ["联系", "收件人", "寄件人", "找", "我叫", "叫做", "名叫", "碰到", "遇到", "见到", "请附", "附上", "署名", "姓名", "本人", "我是", "转交", "交给", "刚打电话", "打电话来", "来电", "签收"],
+            "cue": BEFORE + BEHIND,
+            "han": sorted(self.han_given),
+            "hancue": HAN_BEFORE + HAN_BEHIND,
         }
         for kind, ws in words.items():
             for w in ws:
@@ -142,25 +173,23 @@ class Finder:
         low = form.lower()
         if len(low) != len(form):  # a letter whose lower case is longer
             low = "".join(c.lower() if len(c.lower()) == 1 else c for c in form)
-        hits: dict[str, list[int]] = {}
-        for end, (_, kinds) in self.anchors.iter(low):
+        hits: dict[str, list[tuple[int, int]]] = {}
+        for end, (size, kinds) in self.anchors.iter(low):
             for k in kinds:
-                hits.setdefault(k, []).append(end)
-        found: list[tuple[int, int, str]] = []
-        for lo, hi in self._windows(hits.get("email", []), len(form)):
-            found += [(m.start(), m.end(), "email") for m in EMAIL.finditer(form, lo, hi)]
-        for lo, hi in self._windows(hits.get("number", []), len(form)):
-            found += self._numbers(form, lo, hi)
-        for lo, hi in self._windows(hits.get("name", []) + hits.get("cue", []), len(form)) if not is_name_field else [(0, len(form))]:
-            found += self._latin(form, lo, hi, is_name_field)
-        for lo, hi in self._windows(hits.get("han", []), len(form)) if not is_name_field else [(0, len(form))]:
-            found += self._han(form, lo, hi, is_name_field)
+                hits.setdefault(k, []).append((end + 1 - size, end + 1))
+        found = [(*m, "email") for k in ("written", "spoken") for a, b in hits.get(k, ()) if (m := email_at(form, a, b, k == "spoken"))]
+        if "number" in hits:
+            found += self._numbers(form)
+        if is_name_field or "name" in hits or "cue" in hits:
+            found += self._latin(form, is_name_field)
+        if is_name_field or "han" in hits or "hancue" in hits:
+            found += self._han(form, hits.get("han", ()), is_name_field)
         order = {k: i for i, k in enumerate(KINDS)}
         kept: list[tuple[int, int, str]] = []
-        for s, e, k in sorted(set(found), key=lambda x: (order[x[2]], x[0], -x[1])):
-            if all(e <= a or s >= b for a, b, _ in kept):
-                kept.append((s, e, k))
-        kept.sort()
+        for x in sorted(set(found), key=lambda x: (order[x[2]], x[0], -x[1])):
+            i = bisect_left(kept, x)
+            if (not i or kept[i - 1][1] <= x[0]) and (i == len(kept) or x[1] <= kept[i][0]):
+                kept.insert(i, x)
         if at is not None:
             kept = [(at[s], at[e - 1] + 1, k) for s, e, k in kept]
         if len(self.kept) < 100_000 and len(text) < 200:
@@ -168,32 +197,21 @@ class Finder:
         return kept
 
     @staticmethod
-    def _windows(ends: list[int], size: int) -> list[tuple[int, int]]:
-        """Stretches of REACH characters around anchors, joined where they meet."""
-        out: list[list[int]] = []
-        for e in sorted(ends):
-            if out and e - REACH <= out[-1][1]:
-                out[-1][1] = min(size, e + REACH)
-            else:
-                out.append([max(0, e - REACH), min(size, e + REACH)])
-        return [(a, b) for a, b in out]
-
-    @staticmethod
-    def _numbers(t: str, lo: int, hi: int) -> list[tuple[int, int, str]]:
-        out = [(m.start(), m.end(), "id_number") for m in ID18.finditer(t, lo, hi) if _date(m[1], m[2], m[3])]
-        out += [(m.start(), m.end(), "id_number") for m in SOCIAL.finditer(t, lo, hi)]
-        out += [(m.start(1), m.end(1), "id_number") for m in PASSPORT.finditer(t, lo, hi)]
+    def _numbers(t: str) -> list[tuple[int, int, str]]:
+        out = [(m.start(), m.end(), "id_number") for m in ID18.finditer(t) if _date(m[1], m[2], m[3])]
+        out += [(m.start(), m.end(), "id_number") for m in SOCIAL.finditer(t)]
+        out += [(m.start(1), m.end(1), "id_number") for m in PASSPORT.finditer(t)]
         for p in (CN_MOBILE, NANP, UK, ES):
-            out += [(m.start(), m.end(), "phone") for m in p.finditer(t, lo, hi)]
-        out += [(m.start(), m.end(), "phone") for m in ABROAD.finditer(t, lo, hi) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
+            out += [(m.start(), m.end(), "phone") for m in p.finditer(t)]
+        out += [(m.start(), m.end(), "phone") for m in ABROAD.finditer(t) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
         for p in (HAN_ADDRESS, EN_ADDRESS, ES_ADDRESS):
-            out += [(m.start(), m.end(), "address") for m in p.finditer(t, lo, hi)]
+            out += [(m.start(), m.end(), "address") for m in p.finditer(t)]
         return out
 
-    def _latin(self, t: str, lo: int, hi: int, alone: bool) -> list[tuple[int, int, str]]:
+    def _latin(self, t: str, alone: bool) -> list[tuple[int, int, str]]:
         out = []
-        pos = lo
-        while m := LATIN_NAME.search(t, pos, hi):
+        pos, shouted = 0, 5 * sum(map(str.islower, t)) < sum(map(str.isupper, t))
+        while m := LATIN_NAME.search(t, pos):
             g, f = (m["g1"] or m["g2"]).lower(), (m["f1"] or m["f2"]).lower()
             listed_g, listed_f = g in self.given, any(x in self.family for x in f.split("-"))
             plain = all(x in ORDINARY for x in (g, *f.split("-")))
@@ -201,7 +219,7 @@ class Finder:
             cue = bool(CUE_BEFORE.search(before) or CUE_AFTER.search(after))
             if alone:
                 cue = not before.strip() and (not after.strip() or after.lstrip().startswith("(")) or cue
-            shout = not alone and m[0].isupper() and not any(c.islower() for c in t)
+            shout = not alone and shouted and m[0].isupper()
             in_address = bool(regex.search(r"\d[A-Za-z]?\ $", before)) or bool(regex.match(rf"\ {_STREET}\b", after))
             if listed_g and listed_f:
                 ok = not (plain and (shout or (in_address and not cue)))
@@ -215,24 +233,22 @@ class Finder:
                 pos = m.end()
             else:  # another pair may begin with the second word
                 pos = m.start() + len(m["g1"] or m["f2"])
-        for m in LOWER_NAME.finditer(t, lo, hi, overlapped=True):
+        for m in LOWER_NAME.finditer(t, overlapped=True):
             fs = m["f1"].split("-")
             if m["g1"] in self.given and any(x in self.family for x in fs) and not (m["g1"] in ORDINARY and all(x in ORDINARY for x in fs)):
                 out.append((m.start(), m.end(), "name"))
         return out
 
-    def _han(self, t: str, lo: int, hi: int, alone: bool) -> list[tuple[int, int, str]]:
+    def _han(self, t: str, given: Sequence[tuple[int, int]], alone: bool) -> list[tuple[int, int, str]]:
         out = []
-        for size in (2, 3):
-            for i in range(lo, max(lo, hi - size + 1)):
-                if t[i : i + size] in self.han_given:
-                    for fam in (2, 1):
-                        if i - fam >= 0 and t[i - fam : i] in self.han_family and (not alone or not t[: i - fam].strip()):
-                            out.append((i - fam, i + size, "name"))
-                            break
+        for i, end in given:
+            if end - i > 1:  # one character is no given name by itself
+                fam = next((n for n in (2, 1) if i >= n and t[i - n : i] in self.han_family and (not alone or not t[: i - n].strip())), 0)
+                if fam:
+                    out.append((i - fam, end, "name"))
         if alone and (m := regex.match(r"\s*(\p{Han}{2,4})(?= ?[(（])", t)) and self._is_han(m[1]):
             out.append((m.start(1), m.end(1), "name"))
-        for m in HAN_CUE.finditer(t, lo, hi):
+        for m in HAN_CUE.finditer(t):
             for name in ("n", "n2"):
                 if m[name] and self._is_han(m[name]):
                     out.append((m.start(name), m.end(name), "name"))
@@ -245,9 +261,9 @@ class Finder:
         """(given, family, script) of names that stand where a name is announced, both parts listed or not."""
         form, _ = self._form(text)
         low = form.lower()
-        announced = {k for _, (_, kinds) in self.anchors.iter(low) for k in kinds} & {"han", "cue"}
+        announced = {k for _, (_, kinds) in self.anchors.iter(low) for k in kinds} & {"hancue", "cue"}
         out = []
-        for m in HAN_CUE.finditer(form) if "han" in announced else ():
+        for m in HAN_CUE.finditer(form) if "hancue" in announced else ():
             n = m["n"] or m["n2"]
             if self._is_han(n):
                 cut = 2 if n[:2] in self.han_family else 1

@@ -118,6 +118,21 @@ def test_terms(spark):
 PARTS = [("Tavia", "given", "latin"), ("Rose", "given", "latin"), ("Garden", "family", "latin"), ("Drosvik", "family", "latin"), ("听澜", "given", "han"), ("天", "given", "han"), ("祁", "family", "han"), ("江", "family", "han")]
 
 
+def test_nothing_is_cut_at_any_length():
+    f = personal.Finder(PARTS, charforms.Lattice(BIGRAMS))
+    domain = ".".join(["sub"] * 400) + ".example.com"
+    assert f.replaced(f"write a@{domain} now") == "write [EMAIL] now"
+    assert f.replaced(f"write {'long.' * 3000}local@b.net now") == "write [EMAIL] now"
+    assert f.replaced(f"x{' y' * 5000} call 168-4577-6101{' z' * 5000} Tavia Drosvik") == f"x{' y' * 5000} call [PHONE]{' z' * 5000} [NAME]"
+    street = "vivo en Calle de la " + "X" + "a" * 500 + " 15"
+    assert f.replaced(street) == "vivo en [ADDRESS]"
+    assert f.replaced("a@b.com, c@d.org;mailto:e@f.net -g@h.net") == "[EMAIL], [EMAIL];mailto:[EMAIL] -[EMAIL]"
+    assert f.replaced("https://user:pass@host.example.com/x") == "https://user:pass@host.example.com/x"
+    assert f.replaced("sent to Unknown Person today") == "sent to [NAME] today" and f.replaced("DEAR ALL OF YOU") == "DEAR ALL OF YOU"
+    many = "mail a@b.com " * 20_000
+    assert f.replaced(many) == "mail [EMAIL] " * 20_000
+
+
 def test_personal_information():
     f = personal.Finder(PARTS, charforms.Lattice(BIGRAMS))
     cases = {
