@@ -5,46 +5,9 @@ All functions are compositions of built-in expressions, independent of the sessi
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DAY = 86_400_000_000
-
-
-def micros_of(y: Column, mo: Column, d: Column, h: Column, mi: Column, s: Column, us: Column) -> Column:
-    """Microseconds of a wall-clock time as if it were UTC; null for an impossible date or time of day.
-
-    All arguments are integer columns; a null year, month or day gives null, null seconds count as 0.
-    """
-    month_days = F.element_at(F.array(*[F.lit(n) for n in (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)]), F.when(mo.between(1, 12), mo).otherwise(1))
-    leap = (mo == 2) & (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
-    s, us = F.coalesce(s, F.lit(0)), F.coalesce(us, F.lit(0))
-    ok = y.between(1, 9999) & mo.between(1, 12) & d.between(1, month_days + leap.cast("int")) & h.between(0, 23) & mi.between(0, 59) & s.between(0, 59)
-    # days since 1970-01-01 by the civil-calendar formula: no exception for any input, unlike make_date in ANSI mode
-    yy = F.when(mo <= 2, y - 1).otherwise(y)
-    era = F.floor(yy / 400)
-    yoe = yy - era * 400
-    doy = F.floor((153 * F.pmod(mo + 9, F.lit(12)) + 2) / 5) + d - 1
-    days = era * 146097 + yoe * 365 + F.floor(yoe / 4) - F.floor(yoe / 100) + doy - 719468
-    secs = days.cast("bigint") * 86400 + h * 3600 + mi * 60 + s
-    return F.when(ok, secs * 1_000_000 + us)
-
-
-def group(text: Column, pattern: str, i: int) -> Column:
-    """A group of a match, null where there is none or it is empty."""
-    return F.nullif(F.regexp_extract(text, pattern, i), F.lit(""))
-
-
-def number(text: Column, pattern: str, i: int) -> Column:
-    return group(text, pattern, i).try_cast("int")
-
-
-def first_of(*cs: Column) -> Column:
-    return reduce(lambda a, b: F.coalesce(a, b), cs)
-
-
 ISO = r"^(\d{4})-(\d{1,2})-(\d{1,2})[T ](\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?$"
 
 

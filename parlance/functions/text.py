@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,10 @@ from pyspark.sql import functions as F
 BLANKS = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
 
 
+#: the same as characters
+BLANK_CHARACTERS = "".join(c for c in map(chr, range(0x3001)) if re.match(BLANKS, c))
+
+
 def strip(c: Column) -> Column:
     """Without Unicode blanks at both ends."""
     return F.regexp_replace(c, f"^{BLANKS}+|{BLANKS}+$", "")
