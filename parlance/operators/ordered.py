@@ -12,7 +12,7 @@ have gaps.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,3 +69,32 @@ def last_known(df: DataFrame, keys: Sequence[str], order: str, carry: Column, bl
     edges = rows.groupBy(*keys, b).agg(F.max_by(F.col("_carry"), F.when(F.col("_carry").isNotNull(), F.col(order))).alias(last))
     edges = last_known(edges, keys, b, F.col(last), block, levels - 1).select(*keys, b, F.col("_known").alias(last))
     return rows.join(edges, [*keys, b], "left").withColumn("_known", F.coalesce("_known", last)).drop("_carry", last, b)
+
+
+def stretches(df: DataFrame, keys: Sequence[str], order: str, me: Column, alike: Callable[[Column, Column], Column], block: int = BLOCK) -> DataFrame:
+    """(keys.., first, last, n, me): the longest stretches of rows each ``alike`` the one before (given as ``me`` of
+    both); ``first`` and ``last`` are their places in the order, ``me`` that of the first row.
+
+    One shuffle by (keys, block) serves neighbours, positions and leads; the stretches that touch an edge of a
+    block, two a block at most, are joined in a second, small step.
+    """
+    keys, w = list(keys), Window.partitionBy(*keys, "_b").orderBy(order)
+    rows = df.dropna(subset=[*keys, order]).select(*keys, order, F.floor(F.col(order) / block).alias("_b"), me.alias("_me"))
+    rows = rows.withColumn("_prev", F.lag(F.struct("_me", order)).over(w)).withColumn("_pos", F.row_number().over(w)).withColumn("_final", F.lead(order).over(w).isNull())
+    first = F.col("_prev").isNull()
+    rows = rows.withColumn("_new", first | ~F.coalesce(alike(F.col("_prev._me"), F.col("_me")), F.lit(False)))
+    end = F.when(F.col("_new"), F.struct(F.col(f"_prev.{order}").alias("at"), (F.col("_pos") - 1).alias("pos"))).otherwise(F.struct(F.col(order).alias("at"), F.col("_pos").alias("pos")))
+    kept = rows.where(F.col("_new") | F.col("_final")).select(*keys, "_b", order, "_me", "_pos", "_new", first.alias("_first"), end.alias("_end"), F.when(F.col("_final"), F.col("_me")).alias("_tail"))
+    kept = kept.withColumn("_next", F.lead(F.struct("_end", "_new", "_tail")).over(w)).where("_new")
+    stop = F.coalesce(F.col("_next._end"), F.struct(F.col(order).alias("at"), F.col("_pos").alias("pos")))
+    last = F.col("_next").isNull() | ~F.col("_next._new")
+    pieces = kept.select(
+        *keys, F.col(order).alias("first"), stop["at"].alias("last"), (stop["pos"] - F.col("_pos") + 1).cast("bigint").alias("n"), F.col("_me").alias("me"), "_b", "_first", last.alias("_last"),
+        F.when(last, F.coalesce(F.col("_next._tail"), F.col("_tail"))).alias("_tail"),
+    )
+    edge = F.col("_first") | F.col("_last")
+    w = Window.partitionBy(*keys).orderBy("_b", "first")  # of the edges only
+    goes_on = F.col("_first") & F.coalesce(alike(F.lag("_tail").over(w), F.col("me")), F.lit(False))
+    joined = pieces.where(edge).withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_k", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = joined.groupBy(*keys, "_k").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"), F.min_by("me", "first").alias("me"))
+    return pieces.where(~edge).select(*keys, "first", "last", "n", "me").unionByName(merged.drop("_k"))

@@ -16,12 +16,19 @@ from pyspark.sql import functions as F
 
 from parlance import model
 from parlance.functions.text import char_ngrams, hour_of, last_char, strip, year_month
-from parlance.operators.ordered import BLOCK, ahead, behind
+from parlance.operators.ordered import BLOCK, stretches
 
 
 def valid(messages: DataFrame) -> DataFrame:
+    """Messages that count. A relation with a column ``ok`` has been told already, so that no content is read."""
+    if "ok" in messages.columns:
+        return messages.where("ok")
     c = F.coalesce("content", F.lit(""))
-    return messages.withColumn("content", c).withColumn("sender", F.coalesce("sender", F.lit(""))).where((c != "") & ~c.startswith(model.SEPARATOR))
+    return messages.withColumn("content", c).withColumn("sender", F.coalesce("sender", F.lit(""))).where(is_valid(c))
+
+
+def is_valid(content: Column) -> Column:
+    return (content != "") & ~content.startswith(model.SEPARATOR)
 
 
 def of(messages: DataFrame, speaker: str) -> DataFrame:
@@ -134,16 +141,10 @@ def sentence_tails(messages: DataFrame, speaker: str, k: int = model.TOP_TAILS,
 
 
 def bursts(messages: DataFrame, speaker: str, block: int = BLOCK) -> DataFrame:
-    """(src, start, run): runs of the speaker in the order of a source; any other sender ends one.
-
-    Boundaries and lengths come from neighbours in blocks of the order, so one large source is no single task.
-    """
-    rows = valid(messages).select("src", "seq", (F.col("sender") == speaker).alias("me"))
-    ordered = behind(rows, ["src"], "seq", F.struct("me"), block=block)
-    edges = ordered.where(F.col("_prev").isNull() | (F.col("_prev.me") != F.col("me"))).select("src", "seq", "me", "_before")
-    lead = ahead(edges, ["src"], "seq", F.struct("_before"), block=block)
-    total = rows.groupBy("src").agg(F.count("*").alias("_all"))
-    return lead.where("me").join(total, "src").select("src", F.col("seq").alias("start"), (F.coalesce(F.col("_next._before"), F.col("_all")) - F.col("_before")).alias("run"))
+    """(src, start, run): runs of the speaker in the order of a source; any other sender ends one."""
+    rows = valid(messages).select("src", "seq", (F.col("sender") == speaker).alias("speaks"))
+    runs = stretches(rows, ["src"], "seq", F.col("speaks"), lambda a, b: a == b, block)
+    return runs.where("me").select("src", F.col("first").alias("start"), F.col("n").alias("run"))
 
 
 def burst_stats(runs: DataFrame) -> DataFrame:

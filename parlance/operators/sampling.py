@@ -29,9 +29,9 @@ def draw(seed: int, month_no: Column, t: Column, salt: int) -> Column:
 
 
 def eligible(messages: DataFrame) -> DataFrame:
-    """(src, seq, month, sender, content) that can be sampled."""
-    rows = messages.withColumn("month", year_month(F.col("ts_raw")))
-    return rows.where((F.coalesce("month", F.lit("")) != "") & (F.coalesce("content", F.lit("")) != ""))
+    """The messages that can be sampled, with ``month``. A relation with a column ``full`` needs no content."""
+    full = F.col("full") if "full" in messages.columns else F.coalesce("content", F.lit("")) != ""
+    return messages.withColumn("month", year_month(F.col("ts_raw"))).where((F.coalesce("month", F.lit("")) != "") & full)
 
 
 def month_totals(rows: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ def transcript_rows(spark, d):
     """The messages in transcript framing, one value a message."""
     from parlance.plans.style import messages
 
-    return sinks.transcript(messages(spark, d))
+    return sinks.transcript(messages(spark, d, "src", "seq", "ts_raw", "sender", "content"))
 
 
 def queries():

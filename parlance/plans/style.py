@@ -13,100 +13,108 @@ from parlance.runtime import table
 
 #: thresholds of repeated phrases and of n-grams; the profile's defaults are for longer records of one speaker
 PHRASE_MIN, GRAM_MIN = 3, 5
-TARGET, BASE, SEG_MIN, SEG_MAX, SEED, TRIES = 6500, 20, 20, 45, 42, 600
+TARGET, BASE, SEG_MIN, SEG_MAX, SEED, TRIES = 6500, 120, 20, 45, 42, 5000
 
 
-def messages(spark: SparkSession, d: str) -> DataFrame:
-    """The message relation: each message once, senders and times without blanks at the ends."""
-    m = table(spark, d, "chat_messages").select("msg_id", "src", "seq", "time", "sender", "content").distinct()
-    return m.select("src", "seq", strip(F.coalesce("time", F.lit(""))).alias("ts_raw"), strip(F.coalesce("sender", F.lit(""))).alias("sender"), F.coalesce("content", F.lit("")).alias("content"))
+def messages(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Columns of the message relation, each message once, senders and times without blanks at the ends: ``src``,
+    ``seq``, ``ts_raw``, ``sender``, ``content``; ``ok`` and ``full`` tell valid messages and those with content.
 
+    Only what a query names is read and shuffled.
+    """
+    content = F.coalesce("content", F.lit(""))
+    made = {
+        "src": F.col("src"), "seq": F.col("seq"), "ts_raw": strip(F.coalesce("time", F.lit(""))), "sender": strip(F.coalesce("sender", F.lit(""))), "content": content,
+        "ok": profile.is_valid(content), "full": content != "",
+    }
+    return table(spark, d, "chat_messages").select("msg_id", *[made[c].alias(c) for c in columns]).distinct().drop("msg_id")
+
+
+def speakers(spark: SparkSession, d: str) -> tuple[str, str]:
+    return profile.resolve_speakers(messages(spark, d, "src", "seq", "sender"))
 
-def _speaker(m: DataFrame) -> str:
-    return profile.resolve_speakers(m)[0]
+
+#: what sections over the contents of one speaker need
+SPOKEN = ("src", "seq", "sender", "content", "ok")
 
 
 def speaker_counts(spark, d):
-    return profile.speaker_counts(messages(spark, d)).select("sender", "n")
+    return profile.speaker_counts(messages(spark, d, "src", "seq", "sender")).select("sender", "n")
 
 
 def summary_pair(spark, d):
-    m = messages(spark, d)
-    return profile.summary(m, *profile.resolve_speakers(m))
+    return profile.summary(messages(spark, d, "sender", "ok"), *speakers(spark, d))
 
 
 def length_histogram(spark, d):
-    m = messages(spark, d)
-    return profile.length_histogram(m, _speaker(m))
+    return profile.length_histogram(messages(spark, d, "sender", "content", "ok"), speakers(spark, d)[0])
 
 
 def monthly_volume(spark, d):
-    return profile.monthly_volume(messages(spark, d))
+    return profile.monthly_volume(messages(spark, d, "ts_raw", "ok"))
 
 
 def active_hours(spark, d):
-    m = messages(spark, d)
-    return profile.active_hours(m, _speaker(m)).select("hour", "n")
+    return profile.active_hours(messages(spark, d, "src", "seq", "ts_raw", "sender", "ok"), speakers(spark, d)[0]).select("hour", "n")
 
 
 def peak_hour(spark, d):
-    m = messages(spark, d)
-    return profile.peak_hour(m, _speaker(m)).select("hour", "n")
+    return profile.peak_hour(messages(spark, d, "src", "seq", "ts_raw", "sender", "ok"), speakers(spark, d)[0]).select("hour", "n")
 
 
 def token_dilution(spark, d):
-    m = messages(spark, d)
-    return profile.token_rank(m, _speaker(m), model.BRACKET).select("token", "n", "dilution")
+    return profile.token_rank(messages(spark, d, *SPOKEN), speakers(spark, d)[0], model.BRACKET).select("token", "n", "dilution")
 
 
 def emoji_rank(spark, d):
-    m = messages(spark, d)
-    return profile.token_rank(m, _speaker(m), model.EMOJI).select("token", "n")
+    return profile.token_rank(messages(spark, d, *SPOKEN), speakers(spark, d)[0], model.EMOJI).select("token", "n")
 
 
 def catchphrase_rank(spark, d):
-    m = messages(spark, d)
-    return profile.catchphrases(m, _speaker(m), PHRASE_MIN).select("phrase", "n")
+    return profile.catchphrases(messages(spark, d, *SPOKEN), speakers(spark, d)[0], PHRASE_MIN).select("phrase", "n")
 
 
 def ngrams_top(spark, d):
-    m = messages(spark, d)
-    return profile.ngrams_top(m, _speaker(m), least=GRAM_MIN).select("gram", "n")
+    return profile.ngrams_top(messages(spark, d, *SPOKEN), speakers(spark, d)[0], least=GRAM_MIN).select("gram", "n")
 
 
 def sentence_tails(spark, d):
-    m = messages(spark, d)
-    return profile.sentence_tails(m, _speaker(m)).select("tail", "n")
+    return profile.sentence_tails(messages(spark, d, *SPOKEN), speakers(spark, d)[0]).select("tail", "n")
 
 
 def burst_stats(spark, d):
-    m = messages(spark, d)
-    return profile.burst_stats(profile.bursts(m, _speaker(m)))
+    return profile.burst_stats(profile.bursts(messages(spark, d, "src", "seq", "sender", "ok"), speakers(spark, d)[0]))
 
 
 def burst_histogram(spark, d):
-    m = messages(spark, d)
-    return profile.burst_histogram(profile.bursts(m, _speaker(m)))
+    return profile.burst_histogram(profile.bursts(messages(spark, d, "src", "seq", "sender", "ok"), speakers(spark, d)[0]))
 
 
 def name_occurrences(spark, d):
     """Literal occurrences of the speaker's name in senders and contents."""
-    m = messages(spark, d)
-    name = _speaker(m)
-    return m.agg(F.sum(count_of(F.col("sender"), name)).alias("in_sender"), F.sum(count_of(F.col("content"), name)).alias("in_content"))
+    name = speakers(spark, d)[0]
+    return messages(spark, d, "sender", "content").agg(F.sum(count_of(F.col("sender"), name)).alias("in_sender"), F.sum(count_of(F.col("content"), name)).alias("in_content"))
+
+
+SAMPLED = ("src", "seq", "ts_raw", "full")
 
 
 def stratified_sample(spark, d):
-    return sampling.stratified_sample(messages(spark, d), TARGET, BASE, SEG_MIN, SEG_MAX, SEED, TRIES).select("month", "src", "seq")
+    return sampling.stratified_sample(messages(spark, d, *SAMPLED), TARGET, BASE, SEG_MIN, SEG_MAX, SEED, TRIES).select("month", "src", "seq")
 
 
 def sample_stats(spark, d):
-    m = messages(spark, d)
+    m = messages(spark, d, *SAMPLED)
     return sampling.sample_stats(m, sampling.stratified_sample(m, TARGET, BASE, SEG_MIN, SEG_MAX, SEED, TRIES))
 
 
+def sample_total(spark, d):
+    """The grand total beside a sample: messages sampled, and those that could be."""
+    return sample_stats(spark, d).agg(F.sum("sampled").alias("sampled"), F.sum("total").alias("total"))
+
+
 def month_quotas(spark, d):
-    return sampling.quotas(sampling.month_totals(sampling.eligible(messages(spark, d))), TARGET, BASE)
+    return sampling.quotas(sampling.month_totals(sampling.eligible(messages(spark, d, "ts_raw", "full"))), TARGET, BASE)
 
 
 def _chat_lines(spark, d):
@@ -126,7 +134,7 @@ def queries():
         q.__name__: q
         for q in (
             speaker_counts, summary_pair, length_histogram, monthly_volume, active_hours, peak_hour, token_dilution, emoji_rank, catchphrase_rank, ngrams_top,
-            sentence_tails, burst_stats, burst_histogram, name_occurrences, stratified_sample, sample_stats, month_quotas, privacy_hits, privacy_rule_counts,
+            sentence_tails, burst_stats, burst_histogram, name_occurrences, stratified_sample, sample_stats, sample_total, month_quotas, privacy_hits, privacy_rule_counts,
         )
     }
 
@@ -186,6 +194,9 @@ take AS (SELECT cov.month, cov.pos FROM cov LEFT JOIN stop USING (month) WHERE f
 smp AS (SELECT pos.* FROM pos JOIN take USING (month, pos))
 """
 )
+_SEGMENTS = """, sg AS (SELECT month, CASE WHEN lag(idx) OVER w IS NULL OR lag(idx) OVER w <> idx - 1 THEN 1 ELSE 0 END AS fresh FROM smp WINDOW w AS (PARTITION BY month, src ORDER BY seq)),
+st AS (SELECT month, any_value(tot.n) AS total, count(fresh) AS sampled, CAST(coalesce(sum(fresh), 0) AS BIGINT) AS segments FROM tot LEFT JOIN sg USING (month) GROUP BY month)
+"""
 _RULES_SQL = {
     0: "list_filter(regexp_extract_all(line, '[0-9]+'), lambda x: regexp_full_match(x, '1[3-9][0-9]{9}'))",
     1: "list_filter(regexp_extract_all(line, '[0-9]+[Xx]?'), lambda x: regexp_full_match(x, '[0-9]{17}[0-9Xx]'))",
@@ -235,8 +246,8 @@ def oracle_sql():
             CAST(sum((length(content) - length(replace(content, k, ''))) // length(k)) AS BIGINT) AS in_content FROM m, (SELECT sender AS k FROM ch)""",
         "month_quotas": _QUOTA + "SELECT month, n, quota FROM q",
         "stratified_sample": _SAMPLE + "SELECT month, src, seq FROM smp",
-        "sample_stats": _SAMPLE + """, sg AS (SELECT month, CASE WHEN lag(idx) OVER w IS NULL OR lag(idx) OVER w <> idx - 1 THEN 1 ELSE 0 END AS fresh FROM smp WINDOW w AS (PARTITION BY month, src ORDER BY seq))
-            SELECT month, any_value(tot.n) AS total, count(fresh) AS sampled, CAST(coalesce(sum(fresh), 0) AS BIGINT) AS segments FROM tot LEFT JOIN sg USING (month) GROUP BY month""",
+        "sample_stats": _SAMPLE + _SEGMENTS + "SELECT * FROM st",
+        "sample_total": _SAMPLE + _SEGMENTS + "SELECT CAST(sum(sampled) AS BIGINT) AS sampled, CAST(sum(total) AS BIGINT) AS total FROM st",
         "privacy_hits": _HITS + "SELECT * FROM h",
         "privacy_rule_counts": _HITS + f"SELECT label, CASE label {english} END AS label_en, count(*) AS n FROM h GROUP BY label",
     }
