@@ -92,9 +92,11 @@ def stretches(df: DataFrame, keys: Sequence[str], order: str, me: Column, alike:
         *keys, F.col(order).alias("first"), stop["at"].alias("last"), (stop["pos"] - F.col("_pos") + 1).cast("bigint").alias("n"), F.col("_me").alias("me"), "_b", "_first", last.alias("_last"),
         F.when(last, F.coalesce(F.col("_next._tail"), F.col("_tail"))).alias("_tail"),
     )
+    # one more shuffle, of the stretches: those at edges by their keys, all others stay with their block
     edge = F.col("_first") | F.col("_last")
-    w = Window.partitionBy(*keys).orderBy("_b", "first")  # of the edges only
-    goes_on = F.col("_first") & F.coalesce(alike(F.lag("_tail").over(w), F.col("me")), F.lit(False))
-    joined = pieces.where(edge).withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_k", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = joined.groupBy(*keys, "_k").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"), F.min_by("me", "first").alias("me"))
-    return pieces.where(~edge).select(*keys, "first", "last", "n", "me").unionByName(merged.drop("_k"))
+    pieces = pieces.withColumn("_p", F.when(~edge, F.col("_b")))
+    w = Window.partitionBy(*keys, "_p").orderBy("_b", "first")
+    goes_on = edge & F.col("_first") & F.coalesce(alike(F.lag("_tail").over(w), F.col("me")), F.lit(False))
+    joined = pieces.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_k", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = joined.groupBy(*keys, "_p", "_k").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"), F.min_by("me", "first").alias("me"))
+    return merged.drop("_p", "_k")

@@ -2,7 +2,7 @@
 
 Every month tries up to ``tries`` segments, whose start and length come from an integer hash of (seed, month,
 try). A position belongs to the first try that covers it; a month stops at the try with which its quota is
-reached. All of this is set-oriented: explode, min, cumulative sum.
+reached. All of this is set-oriented: first covers and cumulative sums.
 
 Defined results: messages without month or content are left out; a quota isn't capped by the size of the
 month, so a small month is taken nearly whole; an empty table gives no rows.
@@ -10,6 +10,10 @@ month, so a small month is taken nearly whole; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,12 +24,11 @@ from parlance.operators.ordered import behind
 MODULUS, A, B, C = 2_147_483_647, 48_271, 69_621, 16_807
 
 
-def draw(seed: int, month_no: Column, t: Column, salt: int) -> Column:
-    """A number below MODULUS in plain integer arithmetic."""
-    m = F.lit(MODULUS)
-    x = (month_no * A + t * B + F.lit(seed * C + salt)) % m
-    x = (x * A + salt) % m
-    return (x * C + t) % m
+def draw(seed: int, month_no, t, salt: int):
+    """A number below MODULUS in plain integer arithmetic, of columns or of arrays."""
+    x = (month_no * A + t * B + (seed * C + salt)) % MODULUS
+    x = (x * A + salt) % MODULUS
+    return (x * C + t) % MODULUS
 
 
 def eligible(messages: DataFrame) -> DataFrame:
@@ -65,17 +68,23 @@ def month_number(month: Column) -> Column:
 
 
 def picked(quota: DataFrame, seg_min: int, seg_max: int, seed: int, tries: int) -> DataFrame:
-    """(month, pos) of the sample, from (month, n, quota)."""
-    t = F.explode(F.sequence(F.lit(1), F.lit(tries))).alias("t")
-    no = month_number(F.col("month"))
-    rows = quota.select("month", "n", "quota", t)
-    rows = rows.withColumn("start", draw(seed, no, F.col("t"), 1) % F.col("n")).withColumn("size", F.lit(seg_min) + draw(seed, no, F.col("t"), 2) % (seg_max - seg_min + 1))
-    cov = rows.select("month", "quota", "t", F.explode(F.sequence("start", F.least(F.col("start") + F.col("size"), F.col("n")) - 1)).alias("pos"))
-    first = cov.groupBy("month", "quota", "pos").agg(F.min("t").alias("ft"))
-    per_try = first.groupBy("month", "quota", "ft").agg(F.count("*").alias("k"))
-    w = Window.partitionBy("month").orderBy("ft").rowsBetween(Window.unboundedPreceding, 0)  # at most ``tries`` rows
-    stop = per_try.withColumn("cum", F.sum("k").over(w)).where("cum >= quota").groupBy("month").agg(F.min("ft").alias("stop"))
-    return first.join(stop, "month", "left").where(F.col("ft") <= F.coalesce("stop", F.lit(tries))).select("month", "pos")
+    """(month, pos) of the sample, from (month, n, quota). A month is one row, and what it covers is bounded by tries
+    and lengths, so each is worked out as arrays."""
+
+    def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t = np.arange(1, tries + 1, dtype=np.int64)
+        for b in batches:
+            for month, n, most, no in zip(b["month"], b["n"], b["quota"], b["no"]):
+                start = draw(seed, np.int64(no), t, 1) % n
+                size = np.minimum(seg_min + draw(seed, np.int64(no), t, 2) % (seg_max - seg_min + 1), n - start)
+                try_ = np.repeat(t, size)
+                pos = np.arange(len(try_)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+                pos, first = np.unique(pos, return_index=True)
+                covered = np.cumsum(np.bincount(try_[first], minlength=tries + 1))
+                stop = int(np.searchsorted(covered, most))  # the try with which the quota is reached
+                yield pd.DataFrame({"month": month, "pos": pos[try_[first] <= stop]})
+
+    return quota.select("month", "n", "quota", month_number(F.col("month")).alias("no")).mapInPandas(take, "month string, pos bigint")
 
 
 def stratified_sample(messages: DataFrame, target: int = 6500, base: int = 120, seg_min: int = 20, seg_max: int = 45, seed: int = 42, tries: int = 5000) -> DataFrame:
