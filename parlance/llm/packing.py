@@ -6,7 +6,7 @@ never divided, except documents longer than a container: their full pieces are c
 the rest is an item.
 
 Scale: only (id, piece, length) is shuffled. Items are dealt by hash into groups of about ``group`` items,
-each packed in one task; the number of groups follows the number of items, and each group leaves at most a
+each packed in one task; the number of groups follows the number of items less than a container, and each group leaves at most a
 few containers unfilled. Within a group only the counts of lengths (at most ``capacity``) matter.
 
 Defined results: null and blank texts are in no container; equal lengths and repeated rows are taken in the
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.runtime import written
@@ -108,20 +108,29 @@ def fill(lengths: list[int], capacity: int) -> list[int]:
 
 
 def pack(sizes: DataFrame, capacity: int = 2048, group: int = 50_000) -> DataFrame:
-    """(doc_id, piece, first_token, n_tokens, container) from (doc_id, n_tokens)."""
+    """(doc_id, piece, first_token, n_tokens, container) from (doc_id, n_tokens).
+
+    Containers of several items have even numbers, full pieces of long documents odd ones.
+    """
     kind = sizes.schema["doc_id"].dataType.simpleString()
-    sizes = written(sizes, "sizes")
-    pieces = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n_tokens") - 1) / capacity)),
-        lambda p: F.struct(p.alias("piece"), (p * capacity).alias("first_token"), F.least(F.lit(capacity).cast("bigint"), F.col("n_tokens") - p * capacity).alias("n_tokens")),
-    )
-    items = sizes.where("n_tokens > 0").select("doc_id", F.explode(pieces).alias("x")).select("doc_id", "x.*")
-    groups = max(1, -(-sizes.count() // group))
-    items = items.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    sizes = written(sizes, "sizes").where("n_tokens > 0")
+    full, size = F.floor(F.col("n_tokens") / capacity), F.lit(capacity).cast("bigint")
+    rest = sizes.select("doc_id", full.alias("piece"), (full * capacity).alias("first_token"), (F.col("n_tokens") - full * capacity).alias("n_tokens")).where("n_tokens > 0")
+    groups = max(1, -(-rest.count() // group))
 
     def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "piece"], kind="stable").reset_index(drop=True)
         local = pd.Series(fill(rows["n_tokens"].tolist(), capacity), index=rows.index, dtype="int64")
-        return rows.assign(container=local * groups + int(key[0]))[["doc_id", "piece", "first_token", "n_tokens", "container"]]
-
-    return items.groupBy("g").applyInPandas(packed, f"doc_id {kind}, piece bigint, first_token bigint, n_tokens bigint, container bigint")
+        return rows.assign(container=2 * (local * groups + int(key[0])))[["doc_id", "piece", "first_token", "n_tokens", "container"]]
+
+    dealt = rest.withColumn("g", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    several = dealt.groupBy("g").applyInPandas(packed, f"doc_id {kind}, piece bigint, first_token bigint, n_tokens bigint, container bigint")
+    # full pieces are containers already, and never meet in a group
+    w = Window.partitionBy("g").orderBy("doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    long = sizes.where(full > 0).withColumn("full", full).withColumn("g", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
+    long = long.withColumn("before", F.coalesce(F.sum("full").over(w), F.lit(0)))
+    pieces = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("full") - 1),
+        lambda p: F.struct(p.alias("piece"), (p * capacity).alias("first_token"), size.alias("n_tokens"), (2 * ((F.col("before") + p) * groups + F.col("g")) + 1).alias("container")),
+    )
+    return several.unionByName(long.select("doc_id", F.explode(pieces).alias("x")).select("doc_id", "x.*"))
