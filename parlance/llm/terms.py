@@ -1,42 +1,42 @@
 """Frequency of every distinct term: occurrences, records, and marks for the too rare and too common.
 
-Method: each record emits its terms with their counts; these are combined partially by hash before the
-shuffle (map-side aggregation), then occurrences and record counts are summed and the bounds applied.
+Method: each record emits its terms with their counts, one row per distinct term; these are combined partially by
+hash before the shuffle (map-side aggregation), then occurrences and record counts are summed and the bounds applied.
 
-Defined results: repeated deliveries (same id) are one record; null content is no record, blank content a
-record without terms; a term in fewer than ``least`` records is ``rare``, one in at least the share
+Defined results: repeated deliveries (same id and text) are one record; null content is no record, blank content
+a record without terms; a term in fewer than ``least`` records is ``rare``, one in at least the share
 ``common`` of them ``common`` (a term that is both, in a tiny collection, counts as rare), others have a null
-mark; an empty table gives no rows.
+mark; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TERM = r"[\p{L}\p{N}]+"
 
 
-def records(df: DataFrame, record_id: str, text: str) -> DataFrame:
-    """(record_id, text), once per id, without null texts."""
-    return df.where(F.col(text).isNotNull() & F.col(record_id).isNotNull()).groupBy(record_id).agg(F.first(text).alias(text))
+def counted(terms: Column) -> Column:
+    """array<struct<term, n>>: the distinct terms of a list with their counts. A list without repetitions is taken as
+    it is; another is sorted, and the lengths of its runs are the counts, so the work is that of sorting it."""
+    ordered = F.array_sort(terms)
+    starts = F.filter(F.transform(ordered, lambda x, i: F.struct(x.alias("term"), i.alias("i"))), lambda s: (s["i"] == 0) | (s["term"] != F.get(ordered, s["i"] - 1)))
+    return F.when(
+        F.size(F.array_distinct(terms)) == F.size(terms), F.transform(terms, lambda x: F.struct(x.alias("term"), F.lit(1).cast("bigint").alias("n")))
+    ).otherwise(F.transform(starts, lambda s, j: F.struct(s["term"].alias("term"), (F.coalesce(F.get(starts, j + 1)["i"], F.size(ordered)) - s["i"]).cast("bigint").alias("n"))))
 
 
 def term_counts(once: DataFrame, text: str) -> DataFrame:
-    """(term, occurrences, records) over records that are each held once.
-
-    Equal texts are counted first and read once; a hot text costs one row.
-    """
-    texts = once.groupBy(F.col(text).alias("_t")).agg(F.count("*").alias("_w"))
-    found = F.regexp_extract_all(F.lower("_t"), F.lit(TERM), F.lit(0))
-    each = lambda xs, n, new: F.transform(xs, lambda x: F.struct(x.alias("term"), F.lit(n).alias("n"), F.lit(new).alias("new")))
-    rows = texts.select("_w", found.alias("_f")).select("_w", F.explode(F.concat(each(F.col("_f"), 1, 0), each(F.array_distinct("_f"), 0, 1))).alias("x"))
-    return rows.groupBy(F.col("x.term").alias("term")).agg(F.sum(F.col("_w") * F.col("x.n")).alias("occurrences"), F.sum(F.col("_w") * F.col("x.new")).alias("records"))
+    """(term, occurrences, records) over records that are each held once."""
+    found = once.select(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)).alias("f"))
+    rows = found.select(F.explode(counted(F.col("f"))).alias("x")).select("x.term", "x.n")
+    return rows.groupBy("term").agg(F.sum("n").alias("occurrences"), F.count("*").alias("records"))
 
 
 def term_table(df: DataFrame, record_id: str, text: str, least: int = 3, common: float = 0.01) -> DataFrame:
     """(term, occurrences, records, mark)."""
-    once = records(df, record_id, text)
-    total = once.agg(F.count("*")).scalar()
+    rows = df.where(F.col(text).isNotNull() & F.col(record_id).isNotNull()).select(record_id, text)
+    total = rows.agg(F.count_distinct(record_id)).scalar()  # shuffles the ids alone
     mark = F.when(F.col("records") < least, "rare").when(F.col("records") >= F.lit(common) * total, "common")
-    return term_counts(once, text).select("term", "occurrences", "records", mark.alias("mark"))
+    return term_counts(rows.distinct(), text).select("term", "occurrences", "records", mark.alias("mark"))
