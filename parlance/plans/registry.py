@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parlance.plans import events, ingest, style
+from parlance.plans import events, files, ingest, style
 
 
 def modules() -> list:
-    return [style, ingest, events]
+    return [style, ingest, files, events]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
