@@ -40,9 +40,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("parlance").getOrCreate()
 
     from parlance import model, render
+    from parlance.runtime import ship
     from parlance.operators import privacy, profile, sampling, subtitles
     from parlance.sources import demo, exports, sinks
 
+    ship(spark)
     if a.command == "profile":
         messages = exports.read_transcripts(spark, a.input).cache()
         char, user = profile.resolve_speakers(messages, a.char_name, a.user_name)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +54,11 @@ def erase(*tables: DataFrame) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, for sessions whose workers can't import it (one without a wheel installed
+    and started in another folder)."""
+    root = Path(__file__).resolve().parent
+    at = Path(tempfile.mkdtemp(prefix="parlance-"))
+    spark.sparkContext.addPyFile(shutil.make_archive(str(at / "parlance"), "zip", root.parent, root.name))

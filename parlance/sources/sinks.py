@@ -16,11 +16,6 @@ from parlance.operators.sampling import sample_stats
 SIGNATURE = bytes.fromhex("89504e470d0a1a0a")
 
 
-def write_messages(messages: DataFrame, path: str) -> None:
-    """The relation as Parquet, by source."""
-    messages.write.partitionBy("src").parquet(path)
-
-
 def transcript(messages: DataFrame) -> DataFrame:
     """(src, seq, value): each message as three lines and a blank one."""
     return messages.select("src", "seq", F.concat_ws("\n", F.coalesce("ts_raw", F.lit("")), F.coalesce("sender", F.lit("")), F.coalesce("content", F.lit("")), F.lit("")).alias("value"))
