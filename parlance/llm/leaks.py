@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import unicodedata
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -383,11 +384,23 @@ class Detector:
         return out
 
 
-def leaked(docs: DataFrame, doc_id: str, text: str, items: Sequence[tuple[int, str]], **options) -> DataFrame:
+def leaked(docs: DataFrame, doc_id: str, text: str, items: Sequence[tuple[int, str]], most: int = 5_000_000, **options) -> DataFrame:
     """(doc_id, item_id, share, held) of every document that holds a test item: the share of its words found in
-    order, and with swapped ones up to one in eight."""
+    order, and with swapped ones up to one in eight. What goes to a task is bounded: items of more than ``most``
+    characters together are searched in blocks, each with a pass of its own."""
+    blocks: list[list[tuple[int, str]]] = [[]]
+    size = 0
+    for item in items:
+        if blocks[-1] and size + len(item[1] or "") > most:
+            blocks.append([])
+            size = 0
+        blocks[-1].append(item)
+        size += len(item[1] or "")
+    return reduce(DataFrame.unionByName, [_leaked(docs, doc_id, text, Detector(b, **options)) for b in blocks])
+
+
+def _leaked(docs: DataFrame, doc_id: str, text: str, detector: Detector) -> DataFrame:
     kind = docs.schema[doc_id].dataType.simpleString()
-    detector = Detector(items, **options)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

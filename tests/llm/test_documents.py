@@ -42,6 +42,8 @@ def test_leaks_in_spark(spark):
     got = sorted((r.doc_id or 0, r.item_id) for r in leaks.leaked(df, "doc_id", "text", [(5, ITEM)]).collect())
     assert got == [(0, 5), (1, 5), (1, 5)]
     assert leaks.leaked(df.limit(0), "doc_id", "text", [(5, ITEM)]).count() == 0
+    more = leaks.leaked(df, "doc_id", "text", [(5, ITEM), (6, HAN), (7, ITEM)], most=100)
+    assert sorted((r.doc_id or 0, r.item_id) for r in more.collect()) == [(0, 5), (0, 7), (1, 5), (1, 5), (1, 7), (1, 7)]
 
 
 @settings(max_examples=200, deadline=None)
