@@ -1,7 +1,7 @@
 """Frequency of every distinct term: occurrences, records, and marks for the too rare and too common.
 
-Method: each record emits its terms with their counts, one row per distinct term; these are combined partially by
-hash before the shuffle (map-side aggregation), then occurrences and record counts are summed and the bounds applied.
+Method: each record emits its terms with their counts; these are combined partially by hash before the shuffle
+(map-side aggregation), then occurrences and record counts are summed and the bounds applied.
 
 Defined results: repeated deliveries (same id and text) are one record; null content is no record, blank content
 a record without terms; a term in fewer than ``least`` records is ``rare``, one in at least the share
@@ -11,27 +11,23 @@ mark; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TERM = r"[\p{L}\p{N}]+"
 
 
-def counted(terms: Column) -> Column:
-    """array<struct<term, n>>: the distinct terms of a list with their counts. A list without repetitions is taken as
-    it is; another is sorted, and the lengths of its runs are the counts, so the work is that of sorting it."""
-    ordered = F.array_sort(terms)
-    starts = F.filter(F.transform(ordered, lambda x, i: F.struct(x.alias("term"), i.alias("i"))), lambda s: (s["i"] == 0) | (s["term"] != F.get(ordered, s["i"] - 1)))
-    return F.when(
-        F.size(F.array_distinct(terms)) == F.size(terms), F.transform(terms, lambda x: F.struct(x.alias("term"), F.lit(1).cast("bigint").alias("n")))
-    ).otherwise(F.transform(starts, lambda s, j: F.struct(s["term"].alias("term"), (F.coalesce(F.get(starts, j + 1)["i"], F.size(ordered)) - s["i"]).cast("bigint").alias("n"))))
-
-
 def term_counts(once: DataFrame, text: str) -> DataFrame:
-    """(term, occurrences, records) over records that are each held once."""
-    found = once.select(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)).alias("f"))
-    rows = found.select(F.explode(counted(F.col("f"))).alias("x")).select("x.term", "x.n")
-    return rows.groupBy("term").agg(F.sum("n").alias("occurrences"), F.count("*").alias("records"))
+    """(term, occurrences, records) over records that are each held once.
+
+    A record's terms are sorted, so those of one kind stand together: each is a row that tells whether it is the first
+    of its kind in the record. The partial sums of the rows are a record's counts, joined to those of the other
+    records of a task before anything is shuffled; the work is that of sorting the terms of a record.
+    """
+    found = once.select(F.array_sort(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))).alias("f"))
+    rows = found.select("f", F.posexplode("f").alias("i", "term"))
+    first = (F.col("i") == 0) | (F.get("f", F.col("i") - 1) != F.col("term"))
+    return rows.select("term", first.cast("bigint").alias("first")).groupBy("term").agg(F.count("*").alias("occurrences"), F.sum("first").alias("records"))
 
 
 def term_table(df: DataFrame, record_id: str, text: str, least: int = 3, common: float = 0.01) -> DataFrame:
