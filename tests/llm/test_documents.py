@@ -178,7 +178,7 @@ def test_withheld_labels_come_back(spark):
         rows.setdefault(r.doc_id, set()).add(r.kind)
     held = {i for i, kinds in rows.items() if i % 4 == 0 and kinds & {"notice", "error", "filler"}}
     got = {r.doc_id for r in residue.propagated(docs, "doc_id", "text", marks.where("doc_id % 4 != 0")).distinct().collect()}
-    assert len(got & held) >= 0.7 * len(held) and len(got & set(rows)) >= 0.98 * len(got), (len(got & held), len(held), len(got & set(rows)), len(got))
+    assert len(got & held) >= 0.75 * len(held) and len(got & set(rows)) >= 0.98 * len(got), (len(got & held), len(held), len(got & set(rows)), len(got))
 
 
 def test_map_follows_the_number_of_shingles(spark):
