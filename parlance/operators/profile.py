@@ -162,8 +162,8 @@ def profile(messages: DataFrame, char: str = "", user: str = "", top: int = mode
     char, user = resolve_speakers(messages, char, user)
     runs = bursts(messages, char)
     return {
-        "summary": summary(messages, char, user), "length_histogram": length_histogram(messages, char), "monthly_volume": monthly_volume(messages),
-        "active_hours": active_hours(messages, char), "peak_hour": peak_hour(messages, char), "brackets": token_rank(messages, char, model.BRACKET, top),
+        "summary": summary(messages, char, user), "length_histogram": length_histogram(messages, char).orderBy("bucket"),
+        "monthly_volume": monthly_volume(messages).orderBy("month"), "active_hours": active_hours(messages, char).orderBy("hour"), "peak_hour": peak_hour(messages, char), "brackets": token_rank(messages, char, model.BRACKET, top),
         "emoji": token_rank(messages, char, model.EMOJI, top), "catchphrases": catchphrases(messages, char, phrase_min), "ngrams": ngrams_top(messages, char),
-        "tails": sentence_tails(messages, char), "burst_stats": burst_stats(runs), "burst_histogram": burst_histogram(runs),
+        "tails": sentence_tails(messages, char), "burst_stats": burst_stats(runs), "burst_histogram": burst_histogram(runs).orderBy("run"),
     }

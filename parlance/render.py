@@ -35,16 +35,16 @@ LABELS = {
 
 
 def render_profile(sections: dict[str, DataFrame], char: str, user: str, lang: str = "en") -> list[str]:
-    """The lines of a profile report, section by section."""
+    """The lines of a profile report, section by section, each in its order."""
     say = lambda k, *x: LABELS[lang][k].format(*x)
     got = {k: df.collect() for k, df in sections.items()}  # each section is bounded by its limit or by its nature
     s = got["summary"][0]
     out = [say("title"), say("total", s.total, s.participants), say("pair", char, s.char_n, user, s.user_n, s.ratio), ""]
     labels = {1: "<=5", 2: "6-20", 3: "21-100", 4: ">100"}
-    rows = sorted(got["length_histogram"], key=lambda r: r.bucket)
+    rows = got["length_histogram"]
     out += [say("lengths"), say("mean", rows[0].mean)] + [f"{labels[r.bucket]:>7}: {r.n:>6} ({r.share * 100:.1f}%) {BAR * int(r.share * 40)}" for r in rows] + [""]
-    out += [say("months")] + [f"{r.month}: {r.n:>6} {bar(r.n, 200)}" for r in sorted(got["monthly_volume"], key=lambda r: r.month or "")] + [""]
-    out += [say("hours")] + [f"{r.hour:02d}: {r.n:>6} {bar(r.n, 100)}" for r in sorted(got["active_hours"], key=lambda r: r.hour)]
+    out += [say("months")] + [f"{r.month}: {r.n:>6} {bar(r.n, 200)}" for r in got["monthly_volume"]] + [""]
+    out += [say("hours")] + [f"{r.hour:02d}: {r.n:>6} {bar(r.n, 100)}" for r in got["active_hours"]]
     out += [say("peak", r.hour) for r in got["peak_hour"]] + [""]
     out += [say("brackets")] + [say("token", r.token, r.n, r.dilution) for r in got["brackets"]] + [""]
     out += [say("emoji")] + [f"{r.token} {r.n}" for r in got["emoji"]] + [""]
@@ -53,7 +53,7 @@ def render_profile(sections: dict[str, DataFrame], char: str, user: str, lang: s
     out += [say("tails")] + [f"{r.tail} {r.n}" for r in got["tails"]] + [""]
     if got["burst_stats"]:
         b = got["burst_stats"][0]
-        out += [say("bursts"), say("burst", b.mean, b.longest)] + [f"{r.run}: {r.n}" for r in sorted(got["burst_histogram"], key=lambda r: r.run)] + [""]
+        out += [say("bursts"), say("burst", b.mean, b.longest)] + [f"{r.run}: {r.n}" for r in got["burst_histogram"]] + [""]
     return out
 
 
