@@ -17,7 +17,7 @@ BLANK_CHARACTERS = "".join(c for c in map(chr, range(0x3001)) if re.match(BLANKS
 
 def strip(c: Column) -> Column:
     """Without Unicode blanks at both ends."""
-    return F.regexp_replace(c, f"^{BLANKS}+|{BLANKS}+$", "")
+    return F.btrim(c, F.lit(BLANK_CHARACTERS))
 
 
 def blank_to_null(c: Column) -> Column:
