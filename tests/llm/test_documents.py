@@ -147,8 +147,9 @@ def test_links_are_exact(spark):
             x, y = set(a[2]), set(b[2])
             if a[0] != b[0] and len(x & y) >= residue.SIMILAR * len(x | y):
                 want.add((a[0], b[0]))
-    got = {(r.a, r.b) for r in residue.links(spark.createDataFrame(nodes, residue.NODE)).collect()}
-    assert got == want and want
+    df = spark.createDataFrame(nodes, residue.NODE)
+    for hot in (residue.HOT, 1):  # with crowded places split as well
+        assert {(r.a, r.b) for r in residue.links(df, hot=hot).collect()} == want and want
 
 
 def test_passages_repeated_in_a_row_are_filler(spark):
